@@ -46,18 +46,23 @@ def digits(value: Column) -> Column:
     return F.regexp_replace(value.cast("string"), "[^0-9]", "")
 
 
-def phone_key(
-    phone: Column,
+def phone_from_digits(
+    number: Column,
     country_code: str = COUNTRY_CODE,
     min_length: int = COUNTRY_CODE_MIN_LENGTH,
     local_lengths: tuple[int, ...] = LOCAL_NUMBER_LENGTHS,
 ) -> Column:
-    """digits with the country code put in front of local numbers.
+    """F3 on a text of digits: put the country code in front of local numbers.
 
     A long number that already carries the code is kept, a local one (10 or 11 digits)
     gets the code, anything else keeps its bare digits.
     """
-    number = digits(phone)
     size = F.length(number)
     has_code = (size >= min_length) & number.startswith(country_code)
-    return F.when(~has_code & size.isin(*local_lengths), F.concat(F.lit(country_code), number)).otherwise(number)
+    prefixed = F.concat(F.lit(country_code), number)
+    return F.when(~has_code & size.isin(*local_lengths), prefixed).otherwise(number)
+
+
+def phone_key(phone: Column) -> Column:
+    """digits of a text or whole number, with the country code."""
+    return phone_from_digits(digits(phone))

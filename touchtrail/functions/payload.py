@@ -53,8 +53,8 @@ class JsonDocument:
     def scalar(self, key: str) -> Column:
         """Text of a top-level scalar; NULL when absent, null, nested or not JSON."""
         value = F.try_variant_get(self.envelope, self._field(key), "variant")
-        kind = F.schema_of_variant(value)
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+        # Type names of objects and arrays list their content in angle brackets.
+        nested = F.schema_of_variant(value).contains("<")
         return F.when(
             self.is_json & ~nested,
             F.try_variant_get(self.envelope, self._field(key), "string"),

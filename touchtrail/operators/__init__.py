@@ -11,7 +11,7 @@ from .gate import (
     with_parser_messages,
 )
 from .history import deduplicate, enrich, new_rows, retain
-from .matching import day_touches, identities, interactions, interactions_by_day
+from .matching import day_touches, identities, interactions, interactions_by_day, owned_events
 from .ranking import rank_interactions, top_row
 
 __all__ = [
@@ -25,6 +25,7 @@ __all__ = [
     "interactions_by_day",
     "judge",
     "new_rows",
+    "owned_events",
     "quality_gate",
     "quarantined",
     "rank_interactions",

@@ -27,6 +27,7 @@ from ..constants import (
     REQUIRED_JSON_KEYS,
 )
 from ..functions.keys import is_blank
+from ..functions.once import with_values
 from ..functions.payload import parse_json_document
 from ..session import require_configured
 
@@ -87,7 +88,7 @@ def judge(
     )
     if CORRUPT in df.columns:
         reason = F.when(F.col(CORRUPT).isNotNull(), F.lit(REASON_BAD_RECORD)).otherwise(reason)
-    return df.withColumn(_ENVELOPE, parsed.envelope).withColumn(REASON, reason).drop(_ENVELOPE)
+    return with_values(df.withColumn(_ENVELOPE, parsed.envelope), **{REASON: reason}).drop(_ENVELOPE)
 
 
 def validated(judged: DataFrame) -> DataFrame:

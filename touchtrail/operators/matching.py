@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import EMAIL_CHANNEL, WEIGHT_LABELS, WHATSAPP_CHANNEL, WINDOW_DAYS
 from .ranking import top_row
 
+# Some 60 bytes a row, so at most about 30 MB.
+BROADCAST_ROWS = 500_000
+
 _DAY_KEY = ["channel", "identity", "interaction_date"]
 
 
@@ -66,6 +69,19 @@ def unrolled(owners: DataFrame, days: int) -> DataFrame:
     )
 
 
+def owned_events(events: DataFrame, owners: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Early drop of events whose identity no converted user owns, while those are few.
+
+    Counts the owners first, up to ``limit`` rows.  Within the limit the identities are
+    broadcast and events filtered where they are read.  Beyond it the events pass unfiltered
+    and the later join does the same work, shuffled.
+    """
+    if owners.limit(limit + 1).count() > limit:
+        return events
+    key = ["channel", "identity"]
+    return events.join(F.broadcast(owners.select(*key)), key, "left_semi")
+
+
 def day_touches(events: DataFrame) -> DataFrame:
     """The strongest event per identity and day: lowest weight, latest time.
 
@@ -77,7 +93,7 @@ def day_touches(events: DataFrame) -> DataFrame:
     return top_row(events, _DAY_KEY, order)
 
 
-def interactions_by_day(events: DataFrame, crm: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
+def interactions_by_day(events: DataFrame, owners: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     """Events (or day touches) inside the window of the users they belong to."""
     columns: Sequence[str] = (
         "user_id",
@@ -91,7 +107,7 @@ def interactions_by_day(events: DataFrame, crm: DataFrame, days: int = WINDOW_DA
         "conversion_date",
     )
     return (
-        events.join(unrolled(identities(crm), days), _DAY_KEY)
+        events.join(unrolled(owners, days), _DAY_KEY)
         .select(*columns)
         .withColumn("days_before_conversion", F.datediff("conversion_date", "interaction_date"))
     )

@@ -19,6 +19,7 @@ from ..operators.matching import (
     interactions,
     interactions_by_day,
     known_weights_only,
+    owned_events,
 )
 from ..operators.ranking import rank_interactions, top_row
 
@@ -70,7 +71,7 @@ def interactions_in_window(
     The conversion date travels with the identity, so users are joined once, not twice;
     ``user_id`` must be unique in ``crm`` (see `duplicate_users`).
     """
-    return interactions_by_day(interactions(email, whatsapp), crm, days)
+    return interactions_by_day(interactions(email, whatsapp), identities(crm), days)
 
 
 def ranked_interactions(
@@ -84,12 +85,17 @@ def ranked_interactions(
     return rank_interactions(interactions_in_window(email, whatsapp, crm, days), _group(grain))
 
 
+def _touches(events: DataFrame, owners: DataFrame, days: int) -> DataFrame:
+    """The strongest event per identity and day, joined to the users it counts for."""
+    return interactions_by_day(day_touches(owned_events(events, owners)), owners, days)
+
+
 def premium_users(
     email: DataFrame, whatsapp: DataFrame, crm: DataFrame, days: int = WINDOW_DAYS
 ) -> DataFrame:
     """A1: users with anything better than sent/delivered in their window."""
     premium = interactions(email, whatsapp).where(F.col("interaction_weight") < FALLBACK_WEIGHT)
-    return interactions_by_day(day_touches(premium), crm, days).select("user_id").distinct()
+    return _touches(premium, identities(crm), days).select("user_id").distinct()
 
 
 def _winners_documented(touches: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -126,16 +132,13 @@ def attribute(
     Events are reduced to one per identity and day before they are joined.  A user then
     brings at most two channels x (days + 1) rows into the final window.
     """
-    events = interactions(email, whatsapp)
-    group = _group(grain)
+    if mode not in ("documented", "as_written"):
+        raise ValueError(f"unknown mode: {mode!r}")
+    events, owners, group = interactions(email, whatsapp), identities(crm), _group(grain)
     if mode == "documented":
-        touches = interactions_by_day(day_touches(known_weights_only(events)), crm, days)
-        winners = _winners_documented(touches, group)
-    elif mode == "as_written":
-        touches = interactions_by_day(day_touches(events), crm, days)
-        winners = _winners_as_written(touches, group)
+        winners = _winners_documented(_touches(known_weights_only(events), owners, days), group)
     else:
-        raise ValueError(f"unknown mode: {mode!r}")
+        winners = _winners_as_written(_touches(events, owners, days), group)
     return winners.select(
         surrogate_key("user_id", "conversion_date", "raw_log_id").alias("attribution_id"),
         "user_id",

@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..constants import EMAIL_CHANNEL, EMAIL_WEIGHTS, LOCAL_ZONE, TAG_PATTERN, WHATSAPP_CHANNEL, WHATSAPP_WEIGHTS
 from ..functions import (
+    digits,
     email_key,
     event_weight,
     instant,
     is_blank,
     local_date,
     parse_json_document,
+    phone_from_digits,
     phone_key,
     surrogate_key,
     tag_code,
     wall_clock,
+    with_values,
 )
 from ..session import require_configured
 
@@ -37,6 +40,7 @@ STAGED_COLUMNS = (
     "_loaded_at",
 )
 _ENVELOPE = "_json_envelope"
+_DIGITS = "_digits"
 
 
 def _no_text():
@@ -47,24 +51,24 @@ def stage_email(df: DataFrame, zone: str = LOCAL_ZONE, strict_time: bool = True)
     """E-mail events with normalised key, local time, campaign and weight."""
     require_configured(df.sparkSession)
     parsed = parse_json_document(F.col("message_details"))
-    campaign = parsed.bound(_ENVELOPE).scalar("campaign_code")
-    return (
-        df.where(~is_blank(F.col("user_email")))
-        .withColumn(_ENVELOPE, parsed.envelope)
-        .withColumn("campaign_code", campaign)
-        .select(
-            surrogate_key().alias("stg_id"),
-            F.col("event_id").alias("source_id"),
-            email_key(F.col("user_email")).alias("user_email_normalized"),
-            _no_text().alias("user_phone_normalized"),
-            "event_type",
-            wall_clock(instant(F.col("event_timestamp"), strict_time), zone).alias("event_ts_brt"),
-            "campaign_code",
-            event_weight(F.col("event_type"), EMAIL_WEIGHTS).alias("interaction_weight"),
-            F.lit(EMAIL_CHANNEL).alias("channel"),
-            F.col("campaign_code").isNotNull().alias("is_valid_json"),
-            F.current_timestamp().alias("_loaded_at"),
-        )
+    addressed = df.where(~is_blank(F.col("user_email"))).withColumn(_ENVELOPE, parsed.envelope)
+    return with_values(
+        addressed,
+        user_email_normalized=email_key(F.col("user_email")),
+        event_ts_brt=wall_clock(instant(F.col("event_timestamp"), strict_time), zone),
+        campaign_code=parsed.bound(_ENVELOPE).scalar("campaign_code"),
+    ).select(
+        surrogate_key().alias("stg_id"),
+        F.col("event_id").alias("source_id"),
+        "user_email_normalized",
+        _no_text().alias("user_phone_normalized"),
+        "event_type",
+        "event_ts_brt",
+        "campaign_code",
+        event_weight(F.col("event_type"), EMAIL_WEIGHTS).alias("interaction_weight"),
+        F.lit(EMAIL_CHANNEL).alias("channel"),
+        F.col("campaign_code").isNotNull().alias("is_valid_json"),
+        F.current_timestamp().alias("_loaded_at"),
     )
 
 
@@ -81,22 +85,24 @@ def stage_whatsapp(
     local time.
     """
     require_configured(df.sparkSession)
-    return (
-        df.where(F.col("phone_clean").isNotNull())
-        .withColumn("campaign_code", tag_code(F.col("campaign_tag"), tag_pattern))
-        .select(
-            surrogate_key().alias("stg_id"),
-            F.col("message_id").alias("source_id"),
-            _no_text().alias("user_email_normalized"),
-            phone_key(F.col("phone_clean")).alias("user_phone_normalized"),
-            F.col("status").alias("event_type"),
-            wall_clock(F.col("sent_at_brt"), zone, source_zone).alias("event_ts_brt"),
-            "campaign_code",
-            event_weight(F.col("status"), WHATSAPP_WEIGHTS).alias("interaction_weight"),
-            F.lit(WHATSAPP_CHANNEL).alias("channel"),
-            F.col("campaign_code").isNotNull().alias("is_valid_json"),
-            F.current_timestamp().alias("_loaded_at"),
-        )
+    addressed = df.where(F.col("phone_clean").isNotNull()).withColumn(_DIGITS, digits(F.col("phone_clean")))
+    return with_values(
+        addressed,
+        user_phone_normalized=phone_from_digits(F.col(_DIGITS)),
+        event_ts_brt=wall_clock(F.col("sent_at_brt"), zone, source_zone),
+        campaign_code=tag_code(F.col("campaign_tag"), tag_pattern),
+    ).select(
+        surrogate_key().alias("stg_id"),
+        F.col("message_id").alias("source_id"),
+        _no_text().alias("user_email_normalized"),
+        "user_phone_normalized",
+        F.col("status").alias("event_type"),
+        "event_ts_brt",
+        "campaign_code",
+        event_weight(F.col("status"), WHATSAPP_WEIGHTS).alias("interaction_weight"),
+        F.lit(WHATSAPP_CHANNEL).alias("channel"),
+        F.col("campaign_code").isNotNull().alias("is_valid_json"),
+        F.current_timestamp().alias("_loaded_at"),
     )
 
 

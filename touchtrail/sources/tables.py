@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -27,14 +29,17 @@ def append_daily(df: DataFrame, table: str, day: str = "ingest_date") -> None:
     df.write.format("parquet").partitionBy(day).mode("append").saveAsTable(table)
 
 
-def _laid_out(df: DataFrame) -> DataFrame:
+def _laid_out(df: DataFrame, days_seen: Observation | None = None) -> DataFrame:
     """Range partitions by day and clustering columns, sorted inside.
 
     The key column last makes range boundaries fall inside a busy day or campaign too, so no
     task writes a whole day alone; each file still covers a narrow range of campaigns.
     """
     keys = [MART_PARTITION, *MART_CLUSTERING]
-    return df.repartitionByRange(*keys, "user_id").sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(*keys, "user_id")
+    if days_seen is not None:
+        ranged = ranged.observe(days_seen, F.collect_set(MART_PARTITION).alias("days"))
+    return ranged.sortWithinPartitions(*keys)
 
 
 def replace_mart(df: DataFrame, table: str) -> None:
@@ -76,6 +81,22 @@ def _drop_dates(spark: SparkSession, table: str, column: str, days: list[dt.date
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Let an overwrite touch only the partitions it writes.
+
+    Inserting into a catalog table takes this from the session only; as a write option it
+    is ignored, and the whole table would be replaced.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def replace_dates(df: DataFrame, table: str, start: dt.date, end: dt.date) -> None:
     """Make the table's days in [start, end] hold exactly ``df``.
 
@@ -86,16 +107,9 @@ def replace_dates(df: DataFrame, table: str, start: dt.date, end: dt.date) -> No
     spark = df.sparkSession
     before = partition_dates(spark, table, start=start, end=end)
     within = df.where(F.col(MART_PARTITION).between(F.lit(start), F.lit(end)))
-    laid_out = _laid_out(within.select(*spark.table(table).columns))
-
-    written = laid_out.observe(
-        seen := Observation(), F.collect_set(MART_PARTITION).alias("days")
-    )
-    (
-        written.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    seen = Observation()
+    with _dynamic_overwrite(spark):
+        _laid_out(within.select(*spark.table(table).columns), seen).write.mode("overwrite").insertInto(table)
     kept = set(seen.get["days"])
     _drop_dates(spark, table, MART_PARTITION, [day for day in before if day not in kept])
 
