@@ -34,5 +34,9 @@ def deduplicate(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Colum
 
 
 def new_rows(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of a deduplicated batch whose key the target does not hold yet."""
-    return batch.join(target.select(*keys), list(keys), "left_anti")
+    """Rows of a deduplicated batch whose key the target does not hold yet.
+
+    The target sends each key once per task however often it holds it, and the join uses
+    that exchange.
+    """
+    return batch.join(target.select(*keys).distinct(), list(keys), "left_anti")

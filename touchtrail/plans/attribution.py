@@ -22,6 +22,7 @@ from ..operators.matching import (
     owned_events,
 )
 from ..operators.ranking import rank_interactions, top_row
+from ..session import checkpointed
 
 Mode = Literal["documented", "as_written"]
 Grain = Literal["user", "conversion"]
@@ -81,8 +82,13 @@ def ranked_interactions(
     days: int = WINDOW_DAYS,
     grain: Grain = "user",
 ) -> DataFrame:
-    """W1 over `interactions_in_window`."""
-    return rank_interactions(interactions_in_window(email, whatsapp, crm, days), _group(grain))
+    """W1 over `interactions_in_window`.
+
+    Ranking reads its input twice.  The rows inside the windows are few beside the logs, so
+    they are checkpointed rather than matched again.
+    """
+    rows = checkpointed(interactions_in_window(email, whatsapp, crm, days))
+    return rank_interactions(rows, _group(grain))
 
 
 def _touches(events: DataFrame, owners: DataFrame, days: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..constants import QUARANTINE_ALERT_PCT
 from ..operators.gate import ISO_UTC, judge, quarantined, stats_columns, validated
+from ..session import scratch_table
 from ..sources.event_csv import read_event_csv
 from ..sources.tables import append_table, replace_table
 
@@ -18,7 +19,10 @@ QUARANTINE_TABLE = "raw_sfmc_email_logs_quarantine"
 
 @dataclass(frozen=True)
 class IngestReport:
-    """Q11: outcome of one run.  The frames stay lazy (Q12: take a sample of ``valid``)."""
+    """Q11: outcome of one run.
+
+    The frames are lazy plans over the input, for samples after a dry run (Q12).
+    """
 
     total_rows: int
     valid_rows: int
@@ -45,25 +49,25 @@ def ingest_email_logs(
 ) -> IngestReport:
     """Read, judge, replace the valid table, append to the quarantine table.
 
-    The counts are observed while the valid rows are written, so statistics cost no pass of
-    their own.  An input without any valid row leaves the old valid table in place, one
-    without rejects leaves the quarantine table alone.
+    Texts are split and parsed once: the judged rows go to a scratch table in columnar form,
+    are counted on the way and loaded from there.  An input without any valid row leaves the
+    old valid table in place, one without rejects leaves the quarantine table alone.
     """
     started = time.monotonic()
     judged = judge(read_event_csv(spark, path, multi_line)).withColumn(
         "_ingested_at", F.date_format(F.current_timestamp(), ISO_UTC)
     )
-    valid, quarantine = validated(judged), quarantined(judged)
-
-    if write and not valid.isEmpty():
+    if write:
         counts = Observation()
-        replace_table(validated(judged.observe(counts, *stats_columns())), valid_table)
-        total, passed = counts.get["total_rows"], counts.get["valid_rows"]
+        with scratch_table(judged.observe(counts, *stats_columns())) as rows:
+            total, passed = counts.get["total_rows"], counts.get["valid_rows"]
+            if passed:
+                replace_table(validated(rows), valid_table)
+            if passed < total:
+                append_table(quarantined(rows), quarantine_table)
     else:
         total, passed = judged.agg(*stats_columns()).first()
     rejected = total - passed
-    if write and rejected:
-        append_table(quarantine, quarantine_table)
 
     rate = round(rejected / total * 100, 2) if total else 0
     return IngestReport(
@@ -77,6 +81,6 @@ def ingest_email_logs(
         execution_time_s=round(time.monotonic() - started, 2),
         dry_run=not write,
         status="success",
-        valid=valid,
-        quarantine=quarantine,
+        valid=validated(judged),
+        quarantine=quarantined(judged),
     )

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+SCRATCH_DATABASE = "touchtrail_scratch"
 
 # Wall-clock results need a UTC session; JSON documents that repeat a key keep the last one.
 _SETTINGS = {
@@ -33,16 +38,41 @@ def require_configured(spark: SparkSession) -> None:
             )
 
 
+_local_folder: str | None = None
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     A machine-local folder is used only when Spark itself runs on one machine (tests).
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    global _local_folder
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="touchtrail-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="touchtrail-")
+    return _local_folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written once to the shared folder and read from there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(df.sparkSession))
+    return df.checkpoint()
+
+
+@contextmanager
+def scratch_table(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a Parquet table in the shared folder, dropped at the end of the block."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{scratch_dir(spark)}/{SCRATCH_DATABASE}'")
+    name = f"{SCRATCH_DATABASE}.t_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

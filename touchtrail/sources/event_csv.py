@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..operators.gate import CORRUPT, check_columns
 
 # A quote inside a field is doubled; header names must match the schema in every file.
+# Without pruning a record is checked for all its fields, whatever columns a query reads.
 CSV_OPTIONS = {
+    "columnPruning": "false",
     "header": "true",
     "quote": '"',
     "escape": '"',
