@@ -13,9 +13,14 @@ from .plans import (
     interactions_in_window,
     premium_users,
     ranked_interactions,
+    refresh_crm,
+    refresh_email,
+    refresh_mart,
+    refresh_whatsapp,
     stage_crm,
     stage_email,
     stage_whatsapp,
+    staging_tables,
     unattributed_converters,
     unified_interactions,
     valid_only,
@@ -39,9 +44,14 @@ __all__ = [
     "premium_users",
     "quality_gate",
     "ranked_interactions",
+    "refresh_crm",
+    "refresh_email",
+    "refresh_mart",
+    "refresh_whatsapp",
     "stage_crm",
     "stage_email",
     "stage_whatsapp",
+    "staging_tables",
     "unattributed_converters",
     "unified_interactions",
     "valid_only",

@@ -8,6 +8,7 @@ from .attribution import (
     unified_interactions,
 )
 from .ingest import IngestReport, ingest_email_logs
+from .layers import refresh_crm, refresh_email, refresh_mart, refresh_whatsapp, staging_tables
 from .mart import (
     attribution_distribution,
     backfill,
@@ -33,9 +34,14 @@ __all__ = [
     "interactions_in_window",
     "premium_users",
     "ranked_interactions",
+    "refresh_crm",
+    "refresh_email",
+    "refresh_mart",
+    "refresh_whatsapp",
     "stage_crm",
     "stage_email",
     "stage_whatsapp",
+    "staging_tables",
     "unattributed_converters",
     "unified_interactions",
     "valid_only",
