@@ -53,7 +53,7 @@ def test_strip_agrees_with_python_on_every_white_space(spark):
 
 
 def test_email_key(spark):
-    assert one(spark, "\t MARIA.Santos@Hotmail.COM ", f.email_key) == "maria.santos@hotmail.com"
+    assert one(spark, "\t Ana.Lima@Example.COM ", f.email_key) == "ana.lima@example.com"
 
 
 def test_tag_code(spark):

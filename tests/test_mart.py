@@ -1,6 +1,5 @@
 import datetime as dt
 import uuid
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,6 +139,28 @@ def test_table_modes(spark, database):
     assert spark.table(f"{database}.fresh").count() == 2
 
 
+def test_a_failed_replacement_leaves_the_old_rows(spark, database):
+    table = f"{database}.raw"
+    replace_table(spark.range(3), table)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        replace_table(spark.range(5).selectExpr("id DIV (id - 4) AS id"), table)
+    assert spark.table(table).count() == 3
+    replace_table(spark.table(table).where("id > 0"), table)
+    assert spark.table(table).count() == 2
+
+
+def test_rebuild_of_a_stored_mart(spark, database, case):
+    table = f"{database}.fct"
+    replace_mart(tt.build_mart(*case), table)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        broken = tt.build_mart(*case).withColumn("attributed_weight", F.expr("attributed_weight DIV (attributed_weight - 2)"))
+        replace_mart(broken, table)
+    assert content(spark.table(table)) == content(tt.build_mart(*case))
+    replace_mart(tt.build_mart(*case, mode="as_written"), table)
+    assert content(spark.table(table)) == content(tt.build_mart(*case, mode="as_written"))
+    assert [d.day for d in partition_dates(spark, table)] == [10, 13]
+
+
 def test_retention_drops_whole_days(spark, database):
     table = f"{database}.daily"
     as_of = dt.date(2024, 4, 1)

@@ -67,13 +67,13 @@ def test_whatsapp_with_instants_and_legacy_tags(spark):
 
 def test_crm(spark):
     rows = [
-        ("u_1", "JULIA@X.com ", "+55 (60) 98988-2249", dt.datetime(2024, 1, 15, 1)),
-        ("u_2", "b@x.com", "+55 (35) 95581-2114", None),
+        ("u_1", "ANA@X.com ", "+55 (11) 90123-4567", dt.datetime(2024, 1, 15, 1)),
+        ("u_2", "b@x.com", "+55 (11) 90123-4568", None),
     ]
     frame = spark.createDataFrame(rows, CRM_SCHEMA)
     got = {r.user_id: r for r in stage_crm(frame).collect()}
-    assert got["u_1"].user_email_normalized == "julia@x.com"
-    assert got["u_1"].user_phone_normalized == "5560989882249"
+    assert got["u_1"].user_email_normalized == "ana@x.com"
+    assert got["u_1"].user_phone_normalized == "5511901234567"
     assert got["u_1"].conversion_date == dt.date(2024, 1, 15) and got["u_1"].is_converted
     assert got["u_2"].conversion_date is None and not got["u_2"].is_converted
     local = stage_crm(frame, conversion_zone=LOCAL_ZONE).where("user_id = 'u_1'").first()

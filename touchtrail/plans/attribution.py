@@ -35,6 +35,7 @@ def _last_touch() -> list:
         F.desc("interaction_ts"),
         F.asc("channel"),
         F.asc("raw_log_id"),
+        F.asc("conversion_date"),
     ]
 
 

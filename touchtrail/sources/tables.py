@@ -15,8 +15,16 @@ MART_CLUSTERING = ("attributed_campaign", "attributed_channel")
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """Replace all rows; a rerun gives the same table."""
-    df.write.format("parquet").mode("overwrite").saveAsTable(table)
+    """Replace all rows; a rerun gives the same table.
+
+    The new rows are written beside the old table and take its name when they are complete,
+    so a failed run leaves the old rows in place.  ``df`` may read the table it replaces.
+    """
+    spark, fresh = df.sparkSession, f"{table}__new"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    df.write.format("parquet").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
 
 
 def append_table(df: DataFrame, table: str) -> None:
@@ -43,14 +51,11 @@ def _laid_out(df: DataFrame, days_seen: Observation | None = None) -> DataFrame:
 
 
 def replace_mart(df: DataFrame, table: str) -> None:
-    """Rebuild the whole partitioned mart."""
-    (
-        _laid_out(df)
-        .write.format("parquet")
-        .partitionBy(MART_PARTITION)
-        .mode("overwrite")
-        .saveAsTable(table)
-    )
+    """Rebuild the whole partitioned mart, creating it on first use."""
+    if df.sparkSession.catalog.tableExists(table):
+        replace_dates(df, table)
+    else:
+        _laid_out(df).write.format("parquet").partitionBy(MART_PARTITION).saveAsTable(table)
 
 
 def partition_dates(
@@ -97,19 +102,22 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def replace_dates(df: DataFrame, table: str, start: dt.date, end: dt.date) -> None:
-    """Make the table's days in [start, end] hold exactly ``df``.
+def replace_dates(df: DataFrame, table: str, start: dt.date | None = None, end: dt.date | None = None) -> None:
+    """Make the table's days in [start, end] hold exactly ``df`` (open ends: all days).
 
     Days with rows are overwritten by a dynamic partition write.  Days that lost all their
     rows are not touched by that write, so they are dropped after it: the old mart stays
     whole until the new rows are in place, and a rerun ends in the same state.
     """
-    spark = df.sparkSession
+    spark, date = df.sparkSession, F.col(MART_PARTITION)
+    if start is not None:
+        df = df.where(date >= F.lit(start))
+    if end is not None:
+        df = df.where(date <= F.lit(end))
     before = partition_dates(spark, table, start=start, end=end)
-    within = df.where(F.col(MART_PARTITION).between(F.lit(start), F.lit(end)))
     seen = Observation()
     with _dynamic_overwrite(spark):
-        _laid_out(within.select(*spark.table(table).columns), seen).write.mode("overwrite").insertInto(table)
+        _laid_out(df.select(*spark.table(table).columns), seen).write.mode("overwrite").insertInto(table)
     kept = set(seen.get["days"])
     _drop_dates(spark, table, MART_PARTITION, [day for day in before if day not in kept])
 
