@@ -10,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import touchtrail as tt
 from touchtrail import operators as ops
+from touchtrail.constants import LEGACY_TAG_PATTERN, LOCAL_ZONE
+from touchtrail.functions import wall_clock_from_text
+from touchtrail.plans import layers
 from touchtrail.session import scratch_dir
-from touchtrail.sources import replace_mart
+from touchtrail.sources import append_daily, drop_expired_partitions, replace_mart, replace_table
+from touchtrail.streaming import append_new_files
 
 from . import derived
 
@@ -93,6 +97,13 @@ def _scratch_database(spark: SparkSession) -> str:
     return name
 
 
+def _write_csv(logs: DataFrame, folder: str) -> None:
+    """CSV files with every blank kept, also at the ends of a field."""
+    logs.write.csv(
+        folder, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
 def mart_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store the documented mart, then recompute a range of days under the other mode."""
     staged = _staged(spark, sf_dir)
@@ -107,7 +118,7 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = derived.email_logs(_events(spark, sf_dir))
     database = _scratch_database(spark)
     folder = f"{scratch_dir(spark)}/{database}/incoming"
-    logs.write.csv(folder, header=True, escape='"')
+    _write_csv(logs, folder)
     valid, rejects = f"{database}.raw_sfmc_email_logs", f"{database}.raw_sfmc_email_logs_quarantine"
     report = tt.ingest_email_logs(spark, folder, valid, rejects)
     stored = spark.table(valid).agg(F.count(F.lit(1)).alias("stored_valid_rows")).crossJoin(
@@ -126,6 +137,65 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def whatsapp_staged_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as the documents describe them: local times as text, campaigns in [CAMP:...] tags."""
+    logs = derived.whatsapp_logs(_events(spark, sf_dir))
+    clock = F.date_format("sent_at_brt", "yyyy-MM-dd HH:mm:ss")
+    described = logs.withColumn("sent_at_brt", wall_clock_from_text(clock)).withColumn(
+        "campaign_tag", F.regexp_replace("campaign_tag", r"^\[WA\] - (CAMP_[0-9]+) - ", "[CAMP:$1] ")
+    )
+    return _stable(tt.stage_whatsapp(described, tag_pattern=LEGACY_TAG_PATTERN, source_zone=LOCAL_ZONE))
+
+
+def crm_staged_local_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with the conversion date in local time."""
+    return _stable(tt.stage_crm(derived.crm_users(_events(spark, sf_dir)), conversion_zone=LOCAL_ZONE))
+
+
+def events_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the file it came from."""
+    return ops.enrich(_events(spark, sf_dir)).drop("_ingested_at")
+
+
+def raw_daily_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs appended by day, then the days past retention dropped."""
+    logs = _with_day(derived.email_logs(_events(spark, sf_dir)))
+    table = f"{_scratch_database(spark)}.daily"
+    append_daily(logs, table, day="event_day")
+    drop_expired_partitions(spark, table, "event_day", RETENTION_AS_OF)
+    return spark.table(table)
+
+
+def mart_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tables to staging tables and views to the stored mart."""
+    events, database = _events(spark, sf_dir), _scratch_database(spark)
+    replace_table(derived.email_logs(events), f"{database}.{layers.RAW_EMAIL}")
+    replace_table(derived.whatsapp_logs(events), f"{database}.{layers.RAW_WHATSAPP}")
+    replace_table(derived.crm_users(events), f"{database}.{layers.RAW_CRM}")
+    tt.refresh_crm(spark, database, database)
+    tt.refresh_email(spark, database, database)
+    tt.refresh_whatsapp(spark, database, database)
+    tt.refresh_mart(spark, database, database)
+    return _stable(spark.table(f"{database}.{layers.MART}"))
+
+
+def daily_stream_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs as files, picked up by the daily stream: rows that passed the gate."""
+    logs = derived.email_logs(_events(spark, sf_dir))
+    folder = f"{scratch_dir(spark)}/touchtrail_{uuid.uuid4().hex[:12]}"
+    _write_csv(logs, f"{folder}/landing")
+    append_new_files(
+        spark,
+        f"{folder}/landing",
+        f"{folder}/valid",
+        f"{folder}/quarantine",
+        f"{folder}/state",
+        logs.columns,
+        multi_line=False,
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/valid").select(*logs.columns)
+
+
 def queries() -> dict[str, Query]:
     return {
         "crm_staged": _over_one(2, lambda df: df),
@@ -153,4 +223,10 @@ def queries() -> dict[str, Query]:
         "raw_retained": raw_retained,
         "mart_backfill": mart_backfill,
         "ingest_report": ingest_report,
+        "whatsapp_staged_documented": whatsapp_staged_documented,
+        "crm_staged_local_date": crm_staged_local_date,
+        "events_enriched": events_enriched,
+        "raw_daily_retained": raw_daily_retained,
+        "mart_from_layers": mart_from_layers,
+        "daily_stream_valid": daily_stream_valid,
     }

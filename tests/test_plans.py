@@ -53,7 +53,8 @@ def stored(spark, tmp_path_factory):
     return [spark.read.parquet(str(folder / name)) for name in frames]
 
 
-NATIVE = [n for n in registry.queries() if n not in ("ingest_report", "mart_backfill")]
+STORED = ("ingest_report", "mart_backfill", "raw_daily_retained", "mart_from_layers", "daily_stream_valid")
+NATIVE = [n for n in registry.queries() if n not in STORED]
 
 
 @pytest.mark.parametrize("name", NATIVE)
