@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import touchtrail as tt
 from checks import derived
-from touchtrail.operators import identities, interactions, owned_events, rank_interactions
+from touchtrail.operators import broadcast_size, identities, interactions, matching, owned_events, rank_interactions
 
 from .conftest import touch
 
@@ -133,12 +133,17 @@ def _brute_force(touches, people):
     return result
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_against_brute_force(spark, staged, users, seed):
+@pytest.mark.parametrize("seed, broadcast_rows", [(1, 500_000), (2, 100), (3, 0)])
+def test_against_brute_force(spark, staged, users, seed, broadcast_rows, monkeypatch):
+    """With all, some and no broadcasts."""
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", broadcast_rows)
     touches, people = _random_case(seed)
     events, crm = staged(touches), users(people)
     expected = _brute_force(touches, people)
 
+    matched = {(r.user_id, r.raw_log_id) for r in tt.unified_interactions(*events, crm).collect()}
+    assert matched >= {(u, row[-1]) for u, rows in expected.items() for row in rows}
+
     ranked = {}
     for r in tt.ranked_interactions(*events, crm).collect():
         ranked.setdefault(r.user_id, {})[r.attribution_rank] = r.raw_log_id
@@ -161,15 +166,18 @@ def test_against_brute_force(spark, staged, users, seed):
     assert missing == {u for u, *_ in people} - unconverted - set(documented)
 
 
-def test_early_filter_drops_only_strangers(spark, staged, users):
+def test_early_filter_drops_only_strangers(spark, staged, users, monkeypatch):
     touches, people = _random_case(4)
     events, owners = interactions(*staged(touches)), identities(users(people))
     known = {(r.channel, r.identity) for r in owners.collect()}
-    kept = owned_events(events, owners).collect()
+    kept = owned_events(events, owners, broadcast_size(owners)).collect()
     assert sorted(r.raw_log_id for r in kept) == sorted(
         r.raw_log_id for r in events.collect() if (r.channel, r.identity) in known
     )
-    assert owned_events(events, owners, limit=3) is events
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", owners.count())
+    assert broadcast_size(owners) == owners.count()
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", owners.count() - 1)
+    assert broadcast_size(owners) is None
 
 
 def test_rank_of_one_very_busy_user(spark):

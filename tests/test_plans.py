@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import touchtrail as tt
 from checks import derived, registry
 from touchtrail import operators as ops
-from touchtrail.plans import attribution
+from touchtrail.operators import matching
 
 SF = "/root/testdata/sf0.01"
 
@@ -78,9 +78,8 @@ def test_documents_are_parsed_once(spark, name):
 @pytest.mark.parametrize("mode, limits", [("documented", 4), ("as_written", 2)])
 def test_events_are_reduced_before_their_only_exchange(spark, stored, mode, limits, monkeypatch):
     """With a user side too large to broadcast: one exchange for events, one for users, one per user."""
-    monkeypatch.setattr(attribution, "owned_events", lambda events, owners: events)
-    with settings(spark, autoBroadcastJoinThreshold="-1"):
-        text = plan(tt.attribute(*stored, mode=mode))
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
+    text = plan(tt.attribute(*stored, mode=mode))
     exchanges = re.findall(r"Exchange hashpartitioning\((\w+)", text)
     assert sorted(exchanges) == ["channel", "channel", "user_id"]
     assert text.count("SortMergeJoin") == 1
@@ -91,6 +90,12 @@ def test_events_are_reduced_before_their_only_exchange(spark, stored, mode, limi
     assert events_side[: events_side.index("WindowGroupLimit")].count("Sort [") == 0
 
 
+def test_nothing_is_broadcast_beyond_the_counted_limit(spark, stored, monkeypatch):
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", 10)
+    for build in (tt.attribute, tt.unified_interactions, tt.interactions_in_window, tt.premium_users):
+        assert "Broadcast" not in plan(build(*stored))
+
+
 def test_small_user_side_is_broadcast_to_the_scan(spark, stored):
     text = plan(tt.attribute(*stored))
     assert text.count("LeftSemi") == 2
@@ -109,7 +114,7 @@ def test_columns_and_ranges_reach_the_scan(spark, stored):
     assert all("conversion_date" in line.split("PushedFilters")[1] for line in scans if "is_converted" in line)
 
 
-def test_skewed_identity_is_split(spark, staged, users):
+def test_skewed_identity_is_split(spark, monkeypatch):
     """A third of all events on one address: adaptive execution splits that partition."""
     events = (
         spark.range(0, 300000, 1, 8)
@@ -132,10 +137,9 @@ def test_skewed_identity_is_split(spark, staged, users):
         "DATE'2024-01-03' AS conversion_date",
         "TRUE AS is_converted",
     )
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
     with settings(
         spark,
-        autoBroadcastJoinThreshold="-1",
-        adaptive__autoBroadcastJoinThreshold="-1",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="1MB",
         adaptive__advisoryPartitionSizeInBytes="1MB",
         adaptive__skewJoin__skewedPartitionFactor="2",

@@ -11,11 +11,20 @@ from .gate import (
     with_parser_messages,
 )
 from .history import deduplicate, enrich, new_rows, retain
-from .matching import day_touches, identities, interactions, interactions_by_day, owned_events
+from .matching import (
+    broadcast_size,
+    day_touches,
+    identities,
+    interactions,
+    interactions_by_day,
+    interactions_of_owners,
+    owned_events,
+)
 from .ranking import rank_interactions, top_row
 
 __all__ = [
     "GateResult",
+    "broadcast_size",
     "day_touches",
     "deduplicate",
     "enrich",
@@ -23,6 +32,7 @@ __all__ = [
     "identities",
     "interactions",
     "interactions_by_day",
+    "interactions_of_owners",
     "judge",
     "new_rows",
     "owned_events",

@@ -12,8 +12,6 @@ and a popular identity is spread over its days.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..constants import EMAIL_CHANNEL, WEIGHT_LABELS, WHATSAPP_CHANNEL, WINDOW_DAYS
@@ -22,7 +20,18 @@ from .ranking import top_row
 # Some 60 bytes a row, so at most about 30 MB.
 BROADCAST_ROWS = 500_000
 
-_DAY_KEY = ["channel", "identity", "interaction_date"]
+_OWNER_KEY = ["channel", "identity"]
+_DAY_KEY = [*_OWNER_KEY, "interaction_date"]
+_INTERACTION = [
+    "user_id",
+    "event_type",
+    "interaction_date",
+    "interaction_ts",
+    "campaign_code",
+    "interaction_weight",
+    "channel",
+    "raw_log_id",
+]
 
 
 def interactions(email: DataFrame, whatsapp: DataFrame) -> DataFrame:
@@ -69,17 +78,32 @@ def unrolled(owners: DataFrame, days: int) -> DataFrame:
     )
 
 
-def owned_events(events: DataFrame, owners: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_size(owners: DataFrame) -> int | None:
+    """Number of owners, or None when there are more than may be broadcast.
+
+    One small job that stops counting at the limit.  Every broadcast of this module rests on
+    it; planner estimates would miss that windows are unrolled.
+    """
+    count = owners.limit(BROADCAST_ROWS + 1).count()
+    return count if count <= BROADCAST_ROWS else None
+
+
+def owned_events(events: DataFrame, owners: DataFrame, size: int | None) -> DataFrame:
     """Early drop of events whose identity no converted user owns, while those are few.
 
-    Counts the owners first, up to ``limit`` rows.  Within the limit the identities are
-    broadcast and events filtered where they are read.  Beyond it the events pass unfiltered
-    and the later join does the same work, shuffled.
+    The identities are broadcast and events filtered where they are read.  With many owners
+    the events pass unfiltered and the later join does the same work, shuffled.
     """
-    if owners.limit(limit + 1).count() > limit:
+    if size is None:
         return events
-    key = ["channel", "identity"]
-    return events.join(F.broadcast(owners.select(*key)), key, "left_semi")
+    return events.join(F.broadcast(owners.select(*_OWNER_KEY)), _OWNER_KEY, "left_semi")
+
+
+def interactions_of_owners(events: DataFrame, owners: DataFrame, size: int | None) -> DataFrame:
+    """Every event with each user who owns its identity, whatever the date."""
+    users = owners.select(*_OWNER_KEY, "user_id")
+    users = users.hint("merge") if size is None else F.broadcast(users)
+    return events.join(users, _OWNER_KEY).select(*_INTERACTION)
 
 
 def day_touches(events: DataFrame) -> DataFrame:
@@ -93,21 +117,15 @@ def day_touches(events: DataFrame) -> DataFrame:
     return top_row(events, _DAY_KEY, order)
 
 
-def interactions_by_day(events: DataFrame, owners: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
+def interactions_by_day(
+    events: DataFrame, owners: DataFrame, size: int | None, days: int = WINDOW_DAYS
+) -> DataFrame:
     """Events (or day touches) inside the window of the users they belong to."""
-    columns: Sequence[str] = (
-        "user_id",
-        "event_type",
-        "interaction_date",
-        "interaction_ts",
-        "campaign_code",
-        "interaction_weight",
-        "channel",
-        "raw_log_id",
-        "conversion_date",
-    )
+    windows = unrolled(owners, days)
+    small = size is not None and size * (days + 1) <= BROADCAST_ROWS
+    windows = F.broadcast(windows) if small else windows.hint("merge")
     return (
-        events.join(unrolled(owners, days), _DAY_KEY)
-        .select(*columns)
+        events.join(windows, _DAY_KEY)
+        .select(*_INTERACTION, "conversion_date")
         .withColumn("days_before_conversion", F.datediff("conversion_date", "interaction_date"))
     )

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..constants import FALLBACK_WEIGHT, WINDOW_DAYS
 from ..functions import surrogate_key, weight_label
 from ..operators.matching import (
+    broadcast_size,
     day_touches,
     identities,
     interactions,
     interactions_by_day,
+    interactions_of_owners,
     known_weights_only,
     owned_events,
 )
@@ -46,23 +48,11 @@ def _group(grain: Grain) -> Sequence[str]:
 def unified_interactions(email: DataFrame, whatsapp: DataFrame, crm: DataFrame) -> DataFrame:
     """Every valid event of a converted user, one row per (event, user) match.
 
-    A plain equi-join: both sides are shuffled straight from their scans, so adaptive
-    execution may broadcast a small user side or split a skewed identity.
+    Few users are broadcast.  Otherwise both sides are shuffled straight from their scans, so
+    adaptive execution can split a skewed identity.
     """
-    return (
-        interactions(email, whatsapp)
-        .join(identities(crm).drop("conversion_date"), ["channel", "identity"])
-        .select(
-            "user_id",
-            "event_type",
-            "interaction_date",
-            "interaction_ts",
-            "campaign_code",
-            "interaction_weight",
-            "channel",
-            "raw_log_id",
-        )
-    )
+    owners = identities(crm)
+    return interactions_of_owners(interactions(email, whatsapp), owners, broadcast_size(owners))
 
 
 def interactions_in_window(
@@ -73,7 +63,10 @@ def interactions_in_window(
     The conversion date travels with the identity, so users are joined once, not twice;
     ``user_id`` must be unique in ``crm`` (see `duplicate_users`).
     """
-    return interactions_by_day(interactions(email, whatsapp), identities(crm), days)
+    owners = identities(crm)
+    size = broadcast_size(owners)
+    events = owned_events(interactions(email, whatsapp), owners, size)
+    return interactions_by_day(events, owners, size, days)
 
 
 def ranked_interactions(
@@ -94,7 +87,9 @@ def ranked_interactions(
 
 def _touches(events: DataFrame, owners: DataFrame, days: int) -> DataFrame:
     """The strongest event per identity and day, joined to the users it counts for."""
-    return interactions_by_day(day_touches(owned_events(events, owners)), owners, days)
+    size = broadcast_size(owners)
+    strongest = day_touches(owned_events(events, owners, size))
+    return interactions_by_day(strongest, owners, size, days)
 
 
 def premium_users(
