@@ -121,8 +121,12 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     _write_csv(logs, folder)
     valid, rejects = f"{database}.raw_sfmc_email_logs", f"{database}.raw_sfmc_email_logs_quarantine"
     report = tt.ingest_email_logs(spark, folder, valid, rejects)
-    stored = spark.table(valid).agg(F.count(F.lit(1)).alias("stored_valid_rows")).crossJoin(
-        spark.table(rejects).agg(F.count(F.lit(1)).alias("stored_quarantine_rows"))
+    loaded = spark.table(valid).select(F.lit(True).alias("passed")).unionByName(
+        spark.table(rejects).select(F.lit(False).alias("passed"))
+    )
+    stored = loaded.agg(
+        F.count_if("passed").alias("stored_valid_rows"),
+        F.count_if(~F.col("passed")).alias("stored_quarantine_rows"),
     )
     return stored.select(
         "*",

@@ -139,6 +139,16 @@ def test_table_modes(spark, database):
     assert spark.table(f"{database}.fresh").count() == 2
 
 
+def test_merge_adds_unknown_events_once(spark, database):
+    table = f"{database}.events"
+    schema = "event_id string, at int"
+    replace_table(spark.createDataFrame([("E1", 1)], schema), table)
+    batch = spark.createDataFrame([("E1", 5), ("E2", 1), ("E2", 3), ("E2", 2)], schema)
+    for _ in range(2):
+        tt.merge_new_events(batch, table, [F.desc("at")])
+        assert sorted(tuple(r) for r in spark.table(table).collect()) == [("E1", 1), ("E2", 3)]
+
+
 def test_a_failed_replacement_leaves_the_old_rows(spark, database):
     table = f"{database}.raw"
     replace_table(spark.range(3), table)

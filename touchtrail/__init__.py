@@ -11,6 +11,7 @@ from .plans import (
     duplicate_users,
     ingest_email_logs,
     interactions_in_window,
+    merge_new_events,
     premium_users,
     ranked_interactions,
     refresh_crm,
@@ -41,6 +42,7 @@ __all__ = [
     "duplicate_users",
     "ingest_email_logs",
     "interactions_in_window",
+    "merge_new_events",
     "premium_users",
     "quality_gate",
     "ranked_interactions",

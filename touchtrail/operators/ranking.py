@@ -23,14 +23,14 @@ def top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Data
 def rank_interactions(df: DataFrame, partition: Sequence[str] = ("user_id",)) -> DataFrame:
     """Rank of every interaction of a user: latest day, lowest weight, latest time.
 
-    A user with very many interactions is not ranked in one task.  Rows are numbered
-    within (user, day, weight, hour) and lifted by the size of the groups in front, which
-    comes from a map-side count.  The second window sees one row per such group: at most
-    days x weights x 24 rows for a user.
+    A user with very many interactions is not ranked in one task.  Rows are numbered within
+    (user, day, weight, minute) and lifted by the size of the groups in front, which comes
+    from a map-side count.  The second window sees one row per such group, however many
+    interactions it holds.  ``df`` is read twice.
     """
-    df = df.withColumn("_hour", F.hour("interaction_ts"))
-    groups = [*partition, "interaction_date", "interaction_weight", "_hour"]
-    group_order = [F.desc("interaction_date"), F.asc("interaction_weight"), F.desc("_hour")]
+    df = df.withColumn("_minute", F.hour("interaction_ts") * 60 + F.minute("interaction_ts"))
+    groups = [*partition, "interaction_date", "interaction_weight", "_minute"]
+    group_order = [F.desc("interaction_date"), F.asc("interaction_weight"), F.desc("_minute")]
 
     before = Window.partitionBy(*partition).orderBy(*group_order).rowsBetween(
         Window.unboundedPreceding, -1
@@ -47,6 +47,6 @@ def rank_interactions(df: DataFrame, partition: Sequence[str] = ("user_id",)) ->
     return (
         df.withColumn("_local", F.row_number().over(within))
         .join(offsets, groups)
-        .withColumn("attribution_rank", (F.col("_offset") + F.col("_local")).cast("int"))
-        .drop("_hour", "_local", "_offset")
+        .withColumn("attribution_rank", F.col("_offset") + F.col("_local"))
+        .drop("_minute", "_local", "_offset")
     )

@@ -7,7 +7,7 @@ from .attribution import (
     ranked_interactions,
     unified_interactions,
 )
-from .ingest import IngestReport, ingest_email_logs
+from .ingest import IngestReport, ingest_email_logs, merge_new_events
 from .layers import refresh_crm, refresh_email, refresh_mart, refresh_whatsapp, staging_tables
 from .mart import (
     attribution_distribution,
@@ -32,6 +32,7 @@ __all__ = [
     "duplicate_users",
     "ingest_email_logs",
     "interactions_in_window",
+    "merge_new_events",
     "premium_users",
     "ranked_interactions",
     "refresh_crm",

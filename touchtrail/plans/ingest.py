@@ -1,14 +1,16 @@
-"""Quality-gated ingest: P2, S1-S6, M1, Q9-Q12."""
+"""Quality-gated ingest: P2, S1-S6, M1, Q9-Q12, S13."""
 
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..constants import QUARANTINE_ALERT_PCT
 from ..operators.gate import ISO_UTC, judge, quarantined, stats_columns, validated
+from ..operators.history import deduplicate, new_rows
 from ..session import scratch_table
 from ..sources.event_csv import read_event_csv
 from ..sources.tables import append_table, replace_table
@@ -84,3 +86,14 @@ def ingest_email_logs(
         valid=validated(judged),
         quarantine=quarantined(judged),
     )
+
+
+def merge_new_events(
+    batch: DataFrame, table: str, newest_first: Sequence[Column], keys: Sequence[str] = ("event_id",)
+) -> None:
+    """Append the events a stored table does not hold yet, one row per key.
+
+    A rerun finds its own rows and adds nothing.
+    """
+    fresh = new_rows(deduplicate(batch, keys, newest_first), batch.sparkSession.table(table), keys)
+    append_table(fresh, table)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.gate import ISO_UTC, check_columns, judge, quarantined, validated
-from ..session import require_configured
-from ..sources.event_csv import CSV_OPTIONS, event_schema, CORRUPT
+from ..operators.gate import CORRUPT, ISO_UTC, check_columns, judge, quarantined, validated
+from ..session import require_configured, scratch_table
+from ..sources.event_csv import CSV_OPTIONS, event_schema
 
 _PARTITIONS = ("ingest_date", "batch_id")
 
@@ -43,14 +43,14 @@ def append_new_files(
     ).withColumn("_ingested_at", F.date_format(F.current_timestamp(), ISO_UTC))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        judged = judge(batch).withColumn("batch_id", F.lit(batch_id))
-        for rows, path in ((validated(judged), valid_path), (quarantined(judged), quarantine_path)):
-            (
-                rows.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*_PARTITIONS)
-                .parquet(path)
-            )
+        with scratch_table(judge(batch).withColumn("batch_id", F.lit(batch_id))) as rows:
+            for part, path in ((validated(rows), valid_path), (quarantined(rows), quarantine_path)):
+                (
+                    part.write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy(*_PARTITIONS)
+                    .parquet(path)
+                )
 
     return (
         events.writeStream.foreachBatch(load)
