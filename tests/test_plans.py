@@ -114,7 +114,8 @@ def test_columns_and_ranges_reach_the_scan(spark, stored):
     assert all("conversion_date" in line.split("PushedFilters")[1] for line in scans if "is_converted" in line)
 
 
-def test_skewed_identity_is_split(spark, monkeypatch):
+@pytest.mark.parametrize("build", [tt.unified_interactions, tt.interactions_in_window])
+def test_skewed_identity_is_split(spark, monkeypatch, build):
     """A third of all events on one address: adaptive execution splits that partition."""
     events = (
         spark.range(0, 300000, 1, 8)
@@ -145,7 +146,7 @@ def test_skewed_identity_is_split(spark, monkeypatch):
         adaptive__skewJoin__skewedPartitionFactor="2",
         shuffle__partitions="16",
     ):
-        frame = tt.unified_interactions(events, events.where("FALSE"), crm)
+        frame = build(events, events.where("FALSE"), crm)
         text = final_plan(frame)
     assert "skew=true" in text
 

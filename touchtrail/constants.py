@@ -27,7 +27,6 @@ QUARANTINE_ALERT_PCT = 10.0
 
 # --- keys --------------------------------------------------------------------
 COUNTRY_CODE = "55"
-COUNTRY_CODE_MIN_LENGTH = 12
 LOCAL_NUMBER_LENGTHS = (10, 11)
 
 # --- time --------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..constants import COUNTRY_CODE, COUNTRY_CODE_MIN_LENGTH, LOCAL_NUMBER_LENGTHS
+from ..constants import COUNTRY_CODE, LOCAL_NUMBER_LENGTHS
 
 # Every character Unicode calls white space, plus the four ASCII separators (0x1C-0x1F)
 # that text strippers also remove.  Spark's own trim() drops U+0020 only.
@@ -32,8 +32,8 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    """TRUE for NULL or white space only.  One-sided trim: no second pass over long texts."""
-    return text.isNull() | (F.ltrim(text, F.lit(_SPACES)) == "")
+    """TRUE for NULL, an empty text or white space only."""
+    return text.isNull() | (strip(text) == "")
 
 
 def email_key(email: Column) -> Column:
@@ -49,18 +49,15 @@ def digits(value: Column) -> Column:
 def phone_from_digits(
     number: Column,
     country_code: str = COUNTRY_CODE,
-    min_length: int = COUNTRY_CODE_MIN_LENGTH,
     local_lengths: tuple[int, ...] = LOCAL_NUMBER_LENGTHS,
 ) -> Column:
-    """F3 on a text of digits: put the country code in front of local numbers.
+    """F3 on a text of digits: local numbers (10 or 11 digits) get the country code in front.
 
-    A long number that already carries the code is kept, a local one (10 or 11 digits)
-    gets the code, anything else keeps its bare digits.
+    A number that already carries the code is longer than a local one and stays as it is,
+    and so does anything that cannot be a full number.
     """
-    size = F.length(number)
-    has_code = (size >= min_length) & number.startswith(country_code)
-    prefixed = F.concat(F.lit(country_code), number)
-    return F.when(~has_code & size.isin(*local_lengths), prefixed).otherwise(number)
+    is_local = F.length(number).isin(*local_lengths)
+    return F.when(is_local, F.concat(F.lit(country_code), number)).otherwise(number)
 
 
 def phone_key(phone: Column) -> Column:
