@@ -90,6 +90,10 @@ def test_several_conversions_per_user(staged, users):
     per_conversion = tt.attribute(*events, crm, grain="conversion").orderBy("conversion_date").collect()
     assert [r.raw_log_id for r in per_conversion] == ["1", "2"]
     assert winners(tt.attribute(*events, crm)) == {"u": ("2", 2)}
+    as_written = tt.attribute(*events, crm, mode="as_written", grain="conversion").orderBy("conversion_date")
+    assert [(r.raw_log_id, r.conversion_date) for r in as_written.collect()] == [
+        (r.raw_log_id, r.conversion_date) for r in per_conversion
+    ]
     assert [r.user_id for r in tt.duplicate_users(crm).collect()] == ["u"]
 
 
@@ -175,7 +179,11 @@ def test_early_filter_drops_only_strangers(spark, staged, users, monkeypatch):
         r.raw_log_id for r in events.collect() if (r.channel, r.identity) in known
     )
     monkeypatch.setattr(matching, "BROADCAST_ROWS", owners.count())
-    assert broadcast_size(owners) == owners.count()
+    rows, size = broadcast_size(owners)
+    assert (rows, size) == (owners.count(), sum(len(r.identity) + len(r.user_id) for r in owners.collect()))
+    monkeypatch.setattr(matching, "BROADCAST_BYTES", size - 1)
+    assert broadcast_size(owners) is None
+    monkeypatch.setattr(matching, "BROADCAST_BYTES", size)
     monkeypatch.setattr(matching, "BROADCAST_ROWS", owners.count() - 1)
     assert broadcast_size(owners) is None
 

@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import EMAIL_CHANNEL, WEIGHT_LABELS, WHATSAPP_CHANNEL, WINDOW_DAYS
 from .ranking import top_row
 
-# Some 60 bytes a row, so at most about 30 MB.
+# Bounds of a broadcast: rows, and bytes of text in them.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 _OWNER_KEY = ["channel", "identity"]
 _DAY_KEY = [*_OWNER_KEY, "interaction_date"]
@@ -78,31 +79,40 @@ def unrolled(owners: DataFrame, days: int) -> DataFrame:
     )
 
 
-def broadcast_size(owners: DataFrame) -> int | None:
-    """Number of owners, or None when there are more than may be broadcast.
+def broadcast_size(owners: DataFrame) -> tuple[int, int] | None:
+    """Rows and text bytes of the owners, or None when they are too many to broadcast.
 
-    One small job that stops counting at the limit.  Every broadcast of this module rests on
+    One small job that stops reading at the limit.  Every broadcast of this module rests on
     it; planner estimates would miss that windows are unrolled.
     """
-    count = owners.limit(BROADCAST_ROWS + 1).count()
-    return count if count <= BROADCAST_ROWS else None
+    text = F.octet_length("identity") + F.octet_length("user_id")
+    rows, size = owners.limit(BROADCAST_ROWS + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))
+    ).first()
+    return (rows, size) if _may_broadcast((rows, size)) else None
 
 
-def owned_events(events: DataFrame, owners: DataFrame, size: int | None) -> DataFrame:
+def _may_broadcast(size: tuple[int, int] | None, copies: int = 1) -> bool:
+    return size is not None and size[0] * copies <= BROADCAST_ROWS and size[1] * copies <= BROADCAST_BYTES
+
+
+def owned_events(events: DataFrame, owners: DataFrame, size: tuple[int, int] | None) -> DataFrame:
     """Early drop of events whose identity no converted user owns, while those are few.
 
     The identities are broadcast and events filtered where they are read.  With many owners
     the events pass unfiltered and the later join does the same work, shuffled.
     """
-    if size is None:
+    if not _may_broadcast(size):
         return events
     return events.join(F.broadcast(owners.select(*_OWNER_KEY)), _OWNER_KEY, "left_semi")
 
 
-def interactions_of_owners(events: DataFrame, owners: DataFrame, size: int | None) -> DataFrame:
+def interactions_of_owners(
+    events: DataFrame, owners: DataFrame, size: tuple[int, int] | None
+) -> DataFrame:
     """Every event with each user who owns its identity, whatever the date."""
     users = owners.select(*_OWNER_KEY, "user_id")
-    users = users.hint("merge") if size is None else F.broadcast(users)
+    users = F.broadcast(users) if _may_broadcast(size) else users.hint("merge")
     return events.join(users, _OWNER_KEY).select(*_INTERACTION)
 
 
@@ -118,12 +128,11 @@ def day_touches(events: DataFrame) -> DataFrame:
 
 
 def interactions_by_day(
-    events: DataFrame, owners: DataFrame, size: int | None, days: int = WINDOW_DAYS
+    events: DataFrame, owners: DataFrame, size: tuple[int, int] | None, days: int = WINDOW_DAYS
 ) -> DataFrame:
     """Events (or day touches) inside the window of the users they belong to."""
     windows = unrolled(owners, days)
-    small = size is not None and size * (days + 1) <= BROADCAST_ROWS
-    windows = F.broadcast(windows) if small else windows.hint("merge")
+    windows = F.broadcast(windows) if _may_broadcast(size, days + 1) else windows.hint("merge")
     return (
         events.join(windows, _DAY_KEY)
         .select(*_INTERACTION, "conversion_date")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..constants import FALLBACK_WEIGHT, WINDOW_DAYS
 from ..functions import surrogate_key, weight_label
@@ -106,14 +106,28 @@ def _winners_documented(touches: DataFrame, group: Sequence[str]) -> DataFrame:
 
 
 def _winners_as_written(touches: DataFrame, group: Sequence[str]) -> DataFrame:
-    per_user = Window.partitionBy(*group)
+    """Rank 1 and the lowest weight of a group in one aggregation, combined map-side.
+
+    The struct compares field by field in the order of `_last_touch`; the columns after that
+    ride along.
+    """
+    order = {
+        "_recency": -F.unix_date("interaction_date"),
+        "interaction_weight": F.col("interaction_weight"),
+        "_lateness": -F.unix_micros(F.col("interaction_ts").cast("timestamp")),
+        "channel": F.col("channel"),
+        "raw_log_id": F.col("raw_log_id"),
+        "conversion_date": F.col("conversion_date"),
+    }
+    ridden = {name: F.col(name) for name in touches.columns}
+    fields = [column.alias(name) for name, column in {**order, **ridden}.items() if name not in group]
+    first = F.min(F.struct(*fields)).alias("_first")
     weight = F.col("interaction_weight")
     return (
-        touches.withColumn("_rank", F.row_number().over(per_user.orderBy(*_last_touch())))
-        .withColumn("_best", F.min("interaction_weight").over(per_user))
-        .where(F.col("_rank") == 1)
+        touches.groupBy(*group)
+        .agg(first, F.min("interaction_weight").alias("_best"))
+        .select(*group, "_first.*", "_best")
         .where((weight < FALLBACK_WEIGHT) | ((weight == FALLBACK_WEIGHT) & (F.col("_best") == FALLBACK_WEIGHT)))
-        .drop("_rank", "_best")
     )
 
 
