@@ -6,7 +6,17 @@ from pyspark.sql import functions as F
 
 import touchtrail as tt
 from checks import derived
-from touchtrail.operators import broadcast_size, identities, interactions, matching, owned_events, rank_interactions
+from touchtrail.operators import (
+    broadcast_size,
+    gate_stats,
+    identities,
+    interactions,
+    judge,
+    matching,
+    owned_events,
+    rank_interactions,
+    reject_summary,
+)
 
 from .conftest import touch
 
@@ -207,6 +217,20 @@ def test_rank_of_one_very_busy_user(spark):
     assert got == [r.raw_log_id for r in want]
 
 
+@pytest.mark.parametrize("sf, total", [("0.001", 500), ("0.01", 5000)])
+def test_baseline_gate_counts(spark, sf, total):
+    events = derived.load_events(spark, f"/root/testdata/sf{sf}")
+    judged = judge(derived.email_logs(events.where("event_id % 2 = 0")))
+    row = gate_stats(judged).first()
+    assert (row.total_rows, row.valid_rows, row.quarantine_rate_pct) == (total, total * 6 // 10, 40.0)
+    reasons = {r["_error_reason"]: r.rejected_rows for r in reject_summary(judged).collect()}
+    assert reasons == {
+        "message_details is null or empty": total // 5,
+        "JSONDecodeError: malformed JSON": total // 10,
+        "Missing required JSON fields: {'campaign_code'}": total // 10,
+    }
+
+
 @pytest.mark.parametrize(
     "sf, counts", [("0.001", (460, 230, 490, 343, 15, 10, 350, 69, 9, 8)), ("0.01", (4600, 2300, 4898, 3429, 150, 100, 3402, 853, 87, 67))]
 )

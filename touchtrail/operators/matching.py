@@ -82,14 +82,12 @@ def unrolled(owners: DataFrame, days: int) -> DataFrame:
 def broadcast_size(owners: DataFrame) -> tuple[int, int] | None:
     """Rows and text bytes of the owners, or None when they are too many to broadcast.
 
-    One small job that stops reading at the limit.  Every broadcast of this module rests on
-    it; planner estimates would miss that windows are unrolled.
+    One job over the users that shuffles a pair of sums per task.  Every broadcast of this
+    module rests on it; planner estimates would miss that windows are unrolled.
     """
     text = F.octet_length("identity") + F.octet_length("user_id")
-    rows, size = owners.limit(BROADCAST_ROWS + 1).agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))
-    ).first()
-    return (rows, size) if _may_broadcast((rows, size)) else None
+    size = tuple(owners.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first())
+    return size if _may_broadcast(size) else None
 
 
 def _may_broadcast(size: tuple[int, int] | None, copies: int = 1) -> bool:
