@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -28,12 +29,32 @@ def test_configure_leaves_cluster_sizing_alone(spark):
     assert configure(spark).conf.get("spark.sql.shuffle.partitions") == "4"
 
 
+def left_over(spark):
+    folder = session.scratch_dir(spark).removeprefix("file:")
+    return {name for name in os.listdir(folder) if name.startswith("touchtrail-")}
+
+
+def test_a_local_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(fake("local-cluster[2,1,1024]"))
+
+
 def test_scratch_tables_do_not_stay(spark):
+    before = left_over(spark)
     with session.scratch_table(spark.range(3)) as rows:
         assert rows.count() == 3
-        assert spark.sql(f"SHOW TABLES IN {session.SCRATCH_DATABASE}").count() == 1
-    assert spark.sql(f"SHOW TABLES IN {session.SCRATCH_DATABASE}").count() == 0
+        assert len(left_over(spark) - before) == 1
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
         with session.scratch_table(spark.range(3).selectExpr("id DIV 0 AS x")):
             pass
-    assert spark.sql(f"SHOW TABLES IN {session.SCRATCH_DATABASE}").count() == 0
+    assert left_over(spark) == before
+
+
+def test_stored_rows_are_read_until_they_are_discarded(spark):
+    before = left_over(spark)
+    path = session.scratch_path(spark)
+    assert session.stored(spark.range(5), path).count() == 5
+    assert left_over(spark) - before
+    session.discard(path)
+    session.discard(path)
+    assert left_over(spark) == before

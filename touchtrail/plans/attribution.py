@@ -24,7 +24,7 @@ from ..operators.matching import (
     owned_events,
 )
 from ..operators.ranking import rank_interactions, top_row
-from ..session import checkpointed
+from ..session import stored
 
 Mode = Literal["documented", "as_written"]
 Grain = Literal["user", "conversion"]
@@ -79,9 +79,9 @@ def ranked_interactions(
     """W1 over `interactions_in_window`.
 
     Ranking reads its input twice.  The rows inside the windows are few beside the logs, so
-    they are checkpointed rather than matched again.
+    they are stored once rather than matched again.
     """
-    rows = checkpointed(interactions_in_window(email, whatsapp, crm, days))
+    rows = stored(interactions_in_window(email, whatsapp, crm, days))
     return rank_interactions(rows, _group(grain))
 
 
