@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash, substring_dedup
+from . import byte_bpe, exact_dedup, mixing, simhash, substring_dedup, token_counts, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,21 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.exact_top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.round_trip(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+def op5_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(_documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_shared_windows(_documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -28,14 +45,39 @@ def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(_documents(spark, sf_dir))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(_documents(spark, sf_dir), tokenizer, public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_exact_top_k": op1_exact_top_k,
+        "op2_byte_bpe": op2_byte_bpe,
+        "op5_cube_mixing": op5_cube_mixing,
         "op6_substring_dedup": op6_substring_dedup,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_simhash_components": op9_simhash_components,
+        "op10_token_counts": op10_token_counts,
     }
 
 
+OP1 = """
+WITH ints AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM ints q JOIN ints c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
+"""
+
 OP6 = r"""
 WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
@@ -71,4 +113,4 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substring_dedup": OP6, "op8_exact_dedup": OP8}
+    return {"op1_exact_top_k": OP1, "op6_substring_dedup": OP6, "op8_exact_dedup": OP8}
