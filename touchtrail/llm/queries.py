@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, mixing, simhash, substring_dedup, token_counts, topk
+from . import (
+    byte_bpe,
+    exact_dedup,
+    html_text,
+    mixing,
+    quality,
+    simhash,
+    substring_dedup,
+    token_counts,
+    topk,
+    warc_fixity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +38,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its chances, its site's rates, and whether it stays."""
+    return quality.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(_documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -37,6 +58,24 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+DAMAGE_EVERY, CHANGED, LOST = 97, 13, 31
+
+
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit all pages, laid out as WARC records, against a replica with known damage.
+
+    In the replica one page of ``DAMAGE_EVERY`` has its first byte overwritten and another is lost.
+    """
+    pages = warc_fixity.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    place, record = ["archive", "offset"], warc_fixity.record_bytes(F.col("url"), F.col("html")).alias("record")
+    turn = F.pmod(F.col("page_id"), F.lit(DAMAGE_EVERY))
+    body = F.when(turn == CHANGED, F.overlay("html", F.lit("#"), F.lit(1), F.lit(1))).otherwise(F.col("html"))
+    kept = pages.where((turn != LOST) | turn.isNull())
+    replica = kept.select(*place, warc_fixity.record_bytes(F.col("url"), body).alias("record"))
+    found = warc_fixity.audit(pages.select(*place, record), replica)
+    return found.join(pages.select(*place, "page_id"), place).select("page_id", "status", "first_sha256", "second_sha256")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(_documents(spark, sf_dir))
 
@@ -54,8 +93,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_html_text": op3_html_text,
+        "op4_quality": op4_quality,
         "op5_cube_mixing": op5_cube_mixing,
         "op6_substring_dedup": op6_substring_dedup,
+        "op7_warc_fixity": op7_warc_fixity,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_simhash_components": op9_simhash_components,
         "op10_token_counts": op10_token_counts,
@@ -101,6 +143,28 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n_kept, 0))::BIGI
 FROM split LEFT JOIN kept USING (doc_id)
 """
 
+OP7 = r"""
+WITH body AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, page_id % 97 AS turn FROM pages
+  WHERE page_id % 97 IN (13, 31)
+), sides AS (
+  SELECT page_id, turn, url, html, '#' || substr(html, 2) AS changed FROM body
+)
+SELECT page_id,
+       CASE turn WHEN 13 THEN 'changed' ELSE 'missing' END AS status,
+       sha256(chr(0) || record(url, html)) AS first_sha256,
+       CASE turn WHEN 13 THEN sha256(chr(0) || record(url, changed)) END AS second_sha256
+FROM sides
+"""
+for _name in ("html", "changed"):
+    OP7 = OP7.replace(
+        f"record(url, {_name})",
+        "concat('WARC/1.0', crlf, 'WARC-Type: resource', crlf, 'WARC-Record-ID: <urn:md5:', "
+        f"md5(url || chr(10) || {_name}), '>', crlf, 'WARC-Date: 1970-01-01T00:00:00Z', crlf, "
+        "'WARC-Target-URI: ', url, crlf, 'Content-Type: text/html', crlf, 'Content-Length: ', "
+        f"strlen({_name}), crlf, crlf, {_name}, crlf, crlf)".replace("crlf", "chr(13) || chr(10)"),
+    )
+
 OP8 = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -113,4 +177,4 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_top_k": OP1, "op6_substring_dedup": OP6, "op8_exact_dedup": OP8}
+    return {"op1_exact_top_k": OP1, "op6_substring_dedup": OP6, "op7_warc_fixity": OP7, "op8_exact_dedup": OP8}

@@ -17,7 +17,8 @@ from .common import mixed, ready, text_or_empty, word_hashes
 
 WINDOW_WORDS = 13
 FIRST_LEVEL = 7
-WORDS_PER_GROUP = 1 << 21
+WORDS_PER_GROUP = 1 << 19
+MIN_GROUPS = 256
 CHUNK_BYTES = 6 << 20
 NO_ID = (1 << 63) - 1
 
@@ -283,7 +284,7 @@ def remove_shared_windows(
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id")
     source = docs.select(key, text_or_empty(text_col).cast("binary").alias("text"), F.col(id_col).cast("bigint").alias("doc_id"))
     groups = _group_count(docs, text_col)
-    partitions = max(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = max(groups // 4, int(spark.conf.get("spark.sql.shuffle.partitions")))
     lengths = levels(window)
     replies, path, before = None, None, 0
     for length in lengths:
@@ -307,7 +308,7 @@ def remove_shared_windows(
 def _group_count(docs: DataFrame, text_col: str) -> int:
     """Groups of hashes, from the counted bytes of all texts (six to a word)."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return max(64, -(-size // (6 * WORDS_PER_GROUP)))
+    return max(MIN_GROUPS, -(-size // (6 * WORDS_PER_GROUP)))
 
 
 def _with_replies(source: DataFrame, replies: DataFrame) -> DataFrame:
