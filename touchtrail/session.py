@@ -93,7 +93,7 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     This cuts the lineage: a lost executor costs no more than the tasks that read the files.
     """
     path = path or scratch_path(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
