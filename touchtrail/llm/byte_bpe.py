@@ -135,12 +135,15 @@ def decode_ids(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     return rows.mapInArrow(run, "doc_id bigint, decoded binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids, one space between), decoded_sha256."""
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False
+) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids, one space between), decoded_sha256; and the ids."""
     found = encode_texts(docs, path, pattern, id_col, text_col, decoded=True)
     return found.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *["ids"] * keep_ids,
     )
