@@ -1,0 +1,73 @@
+import hashlib
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+
+from touchtrail.session import stored
+
+from .helpers import prose
+from .test_simhash import components
+
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+@pytest.fixture(scope="module")
+def sf_dir(spark, tmp_path_factory):
+    """Clean, junk and toxic documents, exact copies and near copies."""
+    folder = str(tmp_path_factory.mktemp("sf"))
+    rows, labels = [], []
+    for k in range(240):
+        text, low, toxic = prose(k, 90), k % 8 == 0, k % 6 == 1
+        if toxic:
+            text += " a grobnik " + prose(k, 10)
+        if low:
+            text = text.replace(" ", "*** $$$")
+        rows.append((k, text, "en", f"s{k % 3}", len(text)))
+        labels.append((k, 0 if low else 1, 1 if toxic else 0))
+    for k in range(40):
+        if k % 8 and k % 6 != 1:
+            rows.append((1000 + k, prose(k, 90), "en", "s0", 1))
+            rows.append((2000 + k, prose(k, 90).upper(), "en", "s1", 1))
+    rows += [(3000, None, None, None, None), (None, "no id here", "en", "s2", 3)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(
+        f"{folder}/documents.parquet"
+    )
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_stages_follow_plain_code(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        before = docs.collect()
+        docs = stored(stage(spark, docs, sf_dir))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        kept[name] = before, docs.collect()
+    before, after = kept["quality_classifier"]
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    ids = {r.doc_id for r in after}
+    for i, label in labels.items():
+        assert (i in ids) == (label.quality == 1 and label.toxic == 0), i
+    before, after = kept["exact_dedup"]
+    best = {}
+    for r in before:
+        best[r.text or ""] = max(best.get(r.text or "", -1), -1 if r.doc_id is None else r.doc_id)
+    assert Counter((r.text or "", -1 if r.doc_id is None else r.doc_id) for r in after) == Counter(best.items())
+    before, after = kept["simhash_near_dedup"]
+    found, name = components([(r.doc_id, r.text, r.source) for r in before])
+    assert len(after) == len(set(name)) < len(before)
+    before, after = kept["mix_sources"]
+    words = sum(len((r.text or "").split()) for r in before)
+    assert abs(sum(len((r.text or "").split()) for r in after) - 1.5 * words) < 0.02 * words
+    assert max(Counter(r.doc_id for r in after).values()) <= 2
+
+
+def test_run_gives_tokens_of_the_mixture(spark, sf_dir):
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert rows
+    for r in rows:
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+        assert r.n_tokens == len(r.ids)

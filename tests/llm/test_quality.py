@@ -1,0 +1,82 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from touchtrail.llm import quality
+
+from .helpers import AWKWARD, empty, frame, prose
+
+LABELS = "doc_id bigint, quality int, toxic int, text string, source string"
+
+
+def corpus(n=900):
+    rows, labels = [], []
+    for k in range(n):
+        text, low, toxic = prose(k, 80), k % 7 == 0, k % 5 == 0
+        if toxic:
+            text += f" you grobniksuffix{k % 9} thing " + prose(k + 5000, 20)
+        if low:
+            text = " ".join(f"{w}***" if j % 2 else f"{w}$$$" for j, w in enumerate(text.split()))
+        rows.append((k, text, f"s{k % 4}"))
+        labels.append((k, 0 if low else 1, 1 if toxic else 0, "t", "s"))
+    return rows, labels
+
+
+def test_held_out_accuracy(spark):
+    rows, labels = corpus()
+    known = spark.createDataFrame(labels[:600], LABELS)
+    found = {r.doc_id: r for r in quality.classify(frame(spark, rows), known).collect()}
+    wrong = [k for k, q, t, *_ in labels[600:] if found[k].keep != (q == 1 and t == 0)]
+    assert len(wrong) <= 6
+    assert not [k for k in wrong if not found[k].keep]
+
+
+def test_sites_shrink_towards_the_level_above(spark):
+    rows = [("big", "p", 1.0)] * 500 + [("big", "q", 0.0)] * 500 + [("tiny", "p", 1.0)] + [(None, "p", 0.5)] * 10
+    scored = spark.createDataFrame(rows, "h string, p string, x double")
+    found = {(r.h, r.p): r.rate for r in quality.site_posteriors(scored, ("h", "p"), "x").collect()}
+    assert len(found) == 4
+    assert found["big", "p"] > 0.9 and found["big", "q"] < 0.1
+    corpus_rate = (500 + 1 + 5) / 1011
+    assert corpus_rate < found["tiny", "p"] < 1.0
+
+
+@pytest.mark.parametrize("share", [0.0, 0.2, 0.5])
+def test_strength_is_found_again(share):
+    """Rates of many sites that scatter by a known share of the largest variance."""
+    p, n, sites = 0.3, 40, 5000
+    squares = sites * p * (1 - p) * ((1 - share) + share * n)
+    strength = quality._strength(squares, sites * p * (1 - p), sites * n * p * (1 - p))
+    assert strength == pytest.approx(1e6 if not share else max(1.0, 1 / share - 1))
+
+
+def test_site_moves_a_document_by_its_excess(spark):
+    rows = [(k, prose(k), "s" if k % 2 else None) for k in range(40)]
+    labels = spark.createDataFrame([(k, 1, 0, "", "") for k in range(20)], LABELS)
+    for r in quality.classify(frame(spark, rows), labels).collect():
+        assert 0 <= r.p_low < 0.5 and 0 <= r.p_toxic < 0.5 and r.keep
+        assert math.isfinite(r.site_low)
+
+
+def test_awkward_rows_and_no_labels(spark):
+    none = spark.createDataFrame([], LABELS)
+    found = quality.classify(frame(spark, AWKWARD), none).collect()
+    assert len(found) == len(AWKWARD) and all(r.keep for r in found)
+    odd = spark.createDataFrame([(1, None, 0, "", ""), (None, 1, 1, "", ""), (2, 1, 0, "", ""), (2, 0, 1, "", "")], LABELS)
+    assert quality.classify(frame(spark, AWKWARD), odd).count() == len(AWKWARD)
+
+
+def test_kept_rows_keep_their_columns(spark):
+    rows, labels = corpus(300)
+    known = spark.createDataFrame(labels, LABELS)
+    kept = quality.keep_good(frame(spark, rows), known)
+    assert kept.schema.simpleString() == empty(spark).schema.simpleString()
+    judged = quality.classify(frame(spark, rows), known).where("keep")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in judged.collect())
+
+
+def test_empty_table(spark):
+    labels = spark.createDataFrame([(1, 1, 0, "", "")], LABELS)
+    assert quality.classify(empty(spark), labels).count() == 0
+    assert quality.keep_good(empty(spark), labels).select(F.lit(1)).count() == 0

@@ -1,0 +1,121 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from touchtrail.llm import simhash
+
+from .helpers import AWKWARD, empty, frame, prose
+
+
+def plain_fingerprint(text, n=4):
+    words = (text or "").encode().translate(bytes(range(256)).lower()).split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[k : k + n]) for k in range(max(1, len(words) - n + 1))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(rows, bits=4):
+    marks = [plain_fingerprint(t) for _, t, _ in rows]
+    name = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(rows)):
+            for b in range(a):
+                if name[a] != name[b] and (marks[a] ^ marks[b]).bit_count() <= bits:
+                    low, high = sorted((name[a], name[b]))
+                    name = [low if x == high else x for x in name]
+                    changed = True
+    least = {}
+    for (i, _, _), c in zip(rows, name):
+        least.setdefault(c, []).extend([] if i is None else [i])
+    return Counter((i, f"{m:016x}", min(least[c], default=None)) for (i, _, _), m, c in zip(rows, marks, name)), name
+
+
+def test_components_equal_brute_force(spark):
+    rng = random.Random(4)
+    rows = list(AWKWARD)
+    for k in range(40):
+        words = prose(k % 5 + 50, 120).split()
+        for _ in range(rng.randrange(3)):
+            words[rng.randrange(len(words))] = "changed"
+        rows.append((200 + k, " ".join(words), "s"))
+    found = simhash.near_components(frame(spark, rows))
+    assert Counter(map(tuple, found.collect())) == components(rows)[0]
+
+
+@pytest.mark.parametrize("tile", [3, 2048])
+def test_links_span_components_of_close_fingerprints(spark, tile):
+    """Chains of fingerprints a few bits apart, one key held by many, in small and large tiles."""
+    rng = random.Random(1)
+    marks = {rng.getrandbits(64) for _ in range(60)}
+    for mark in list(marks)[:8]:
+        for _ in range(25):
+            for bit in rng.sample(range(64), rng.randrange(1, 5)):
+                mark ^= 1 << bit
+            marks.add(mark)
+    values = np.array(sorted(marks), np.uint64)
+    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "mark bigint")
+    links = simhash.near_links(df, tile_rows=tile).collect()
+    name = {int(v): int(v) for v in values}
+
+    def root(x):
+        while name[x] != x:
+            x = name[x]
+        return x
+
+    for a, b in ((r.a % (1 << 64), r.b % (1 << 64)) for r in links):
+        name[root(a)] = root(b)
+    for k, v in enumerate(values):
+        near = np.flatnonzero(np.bitwise_count(values ^ v) <= 4)
+        assert len({root(int(values[n])) for n in near}) == 1
+    parts = {root(int(v)) for v in values}
+    assert len(parts) == len({c for c in components_of(values)})
+
+
+def components_of(values):
+    name = list(range(len(values)))
+    for k, v in enumerate(values):
+        for n in np.flatnonzero(np.bitwise_count(values ^ v) <= 4):
+            low, high = sorted((name[k], name[n]))
+            name = [low if x == high else x for x in name]
+    return name
+
+
+def test_pivots_discard_no_linked_pair():
+    rng = np.random.default_rng(0)
+    marks = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    marks = np.concatenate([marks, marks ^ np.uint64(0b1111), marks ^ np.uint64(0b11111)])
+    a, b = simhash.linked(np.zeros(len(marks)), marks, 4, simhash._pivots(32))
+    assert len(a) >= 200
+    assert (np.bitwise_count(a ^ b) <= 64).all()
+
+
+def test_one_document_of_each_component_stays(spark):
+    rows = AWKWARD
+    kept = simhash.drop_near_copies(frame(spark, rows))
+    assert kept.columns == empty(spark).columns
+    marks = [(r.doc_id, r.text) for r in kept.collect()]
+    _, name = components(rows)
+    assert len(marks) == len(set(name))
+    by_text = {(i, t): c for (i, t, _), c in zip(rows, name)}
+    assert len({by_text[m] for m in marks}) == len(marks)
+    for i, text in marks:
+        ids = [x for (x, _, _), c in zip(rows, name) if c == by_text[i, text] and x is not None]
+        assert i == min(ids, default=None)
+
+
+def test_hash_is_the_one_of_the_engine(spark):
+    want = spark.range(1).select(F.xxhash64(F.lit("a b c d")).alias("h")).first().h % (1 << 64)
+    assert simhash.fingerprint(b"A b  C\td") == want
+
+
+def test_empty_table(spark):
+    assert simhash.near_components(empty(spark)).count() == 0
+    assert simhash.drop_near_copies(empty(spark)).count() == 0
