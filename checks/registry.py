@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +12,7 @@ from touchtrail import operators as ops
 from touchtrail.constants import LEGACY_TAG_PATTERN, LOCAL_ZONE
 from touchtrail.functions import wall_clock_from_text
 from touchtrail.plans import layers
-from touchtrail.session import scratch_dir
+from touchtrail.session import scratch_path
 from touchtrail.sources import append_daily, drop_expired_partitions, replace_mart, replace_table
 from touchtrail.streaming import append_new_files
 
@@ -80,10 +79,13 @@ def events_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows a full redelivery adds to a table that ends before the backfill start."""
+    """Rows two full redeliveries add to a daily table that ends before the backfill start."""
     logs = _with_day(derived.email_logs(_events(spark, sf_dir)))
-    stored = logs.where(F.col("event_day") < F.lit(BACKFILL_START))
-    return ops.new_rows(logs, stored, ["event_id"]).drop("event_day")
+    table = f"{_scratch_database(spark)}.merged"
+    append_daily(logs.where(F.col("event_day") < F.lit(BACKFILL_START)), table, day="event_day")
+    for _ in range(2):
+        tt.merge_new_events(logs, table, [F.desc("event_timestamp")])
+    return spark.table(table).where(F.col("event_day") >= F.lit(BACKFILL_START)).select(*logs.columns).drop("event_day")
 
 
 def raw_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +94,10 @@ def raw_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch_database(spark: SparkSession) -> str:
-    name = f"touchtrail_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark)}/{name}'")
+    """A database of its own below the shared folder; its files go when the driver ends."""
+    path = scratch_path(spark)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
     return name
 
 
@@ -117,10 +121,10 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the logs as CSV files, ingest them and count what was stored."""
     logs = derived.email_logs(_events(spark, sf_dir))
     database = _scratch_database(spark)
-    folder = f"{scratch_dir(spark)}/{database}/incoming"
+    folder = scratch_path(spark)
     _write_csv(logs, folder)
     valid, rejects = f"{database}.raw_sfmc_email_logs", f"{database}.raw_sfmc_email_logs_quarantine"
-    report = tt.ingest_email_logs(spark, folder, valid, rejects)
+    report = tt.ingest_email_logs(spark, folder, valid, rejects, multi_line=False)
     loaded = spark.table(valid).select(F.lit(True).alias("passed")).unionByName(
         spark.table(rejects).select(F.lit(False).alias("passed"))
     )
@@ -186,7 +190,7 @@ def mart_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_stream_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The logs as files, picked up by the daily stream: rows that passed the gate."""
     logs = derived.email_logs(_events(spark, sf_dir))
-    folder = f"{scratch_dir(spark)}/touchtrail_{uuid.uuid4().hex[:12]}"
+    folder = scratch_path(spark)
     _write_csv(logs, f"{folder}/landing")
     append_new_files(
         spark,

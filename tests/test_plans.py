@@ -155,3 +155,67 @@ def test_rank_splits_users_over_groups(spark, stored):
     text = plan(tt.ranked_interactions(*stored))
     windows = re.findall(r"Window \[row_number\(\) windowspecdefinition\(([^)]*?)specifiedwindowframe", text)
     assert windows and all("interaction_date" in w.split(" ASC")[0].split(" DESC")[0] for w in windows)
+
+
+def shared_number(spark, users=30_000, days=1):
+    """Messages to many numbers, and users of whom a third share one and a third have none."""
+    messages = spark.range(0, 60_000, 1, 8).selectExpr(
+        "concat('W', id) AS source_id",
+        "CAST(NULL AS STRING) AS user_email_normalized",
+        "IF(id % 3 = 0, '5511', concat('n', id % 5000)) AS user_phone_normalized",
+        "'read' AS event_type",
+        "timestampadd(SECOND, CAST(id AS INT), TIMESTAMP_NTZ'2024-01-02 00:00:00') AS event_ts_brt",
+        "sha2(CAST(id AS STRING), 512) AS campaign_code",
+        "1 AS interaction_weight",
+        "'whatsapp' AS channel",
+        "TRUE AS is_valid_json",
+    )
+    crm = spark.range(users).selectExpr(
+        "sha2(CAST(id AS STRING), 512) AS user_id",
+        "'' AS user_email_normalized",
+        "CASE id % 3 WHEN 0 THEN '5511' WHEN 1 THEN '' ELSE concat('n', id % 5000) END AS user_phone_normalized",
+        f"date_add(DATE'2024-01-03', CAST(id % {days} AS INT)) AS conversion_date",
+        "TRUE AS is_converted",
+    )
+    return messages, crm
+
+
+@pytest.mark.parametrize("mode", ["documented", "as_written"])
+def test_attribute_splits_a_number_that_many_users_share(spark, monkeypatch, mode):
+    """All conversions on one day: the same rows as by broadcast, from a join that is split."""
+    messages, crm = shared_number(spark)
+    columns = ["user_id", "conversion_date", "raw_log_id", "days_before_conversion"]
+    want = tt.attribute(messages.where("FALSE"), messages, crm, mode).select(*columns)
+    want = sorted(map(tuple, want.collect()))
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(matching, "SHARED_BY", 5_000)
+    with settings(
+        spark,
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="1MB",
+        adaptive__advisoryPartitionSizeInBytes="1MB",
+        adaptive__skewJoin__skewedPartitionFactor="2",
+        shuffle__partitions="16",
+    ):
+        frame = tt.attribute(messages.where("FALSE"), messages, crm, mode).select(*columns)
+        assert "skew=true" in final_plan(frame)
+        assert sorted(map(tuple, frame.collect())) == want
+    assert len(want) == 20_000
+
+
+def test_blank_identities_are_not_counted_or_joined(spark):
+    _, crm = shared_number(spark, 300)
+    owners = matching.identities(crm)
+    assert owners.where("identity = ''").isEmpty()
+    assert matching.broadcast_size(owners)[0] == 200
+
+
+def test_rows_without_user_or_time_are_ranked_too(spark):
+    rows = [(None, "E1", 1), (None, "E2", 2), ("u", "E3", 1)]
+    df = spark.createDataFrame(rows, "user_id string, raw_log_id string, interaction_weight int").selectExpr(
+        "*",
+        "DATE'2024-01-01' AS interaction_date",
+        "IF(raw_log_id = 'E2', NULL, TIMESTAMP_NTZ'2024-01-01 08:00:00') AS interaction_ts",
+        "'email' AS channel",
+    )
+    got = {r.raw_log_id: r.attribution_rank for r in ops.ranking.rank_interactions(df).collect()}
+    assert got == {"E1": 1, "E2": 2, "E3": 1}

@@ -22,7 +22,6 @@ REASON_MALFORMED_PREFIX = "JSONDecodeError: "
 REASON_MISSING_KEYS_PREFIX = "Missing required JSON fields: "
 REASON_NOT_OBJECT = "not a JSON object"
 REASON_BAD_RECORD = "malformed CSV record"
-REASON_TEXT_LIMIT = 200
 QUARANTINE_ALERT_PCT = 10.0
 
 # --- keys --------------------------------------------------------------------

@@ -15,6 +15,11 @@ from pyspark.sql import Column, functions as F
 
 from .keys import strip
 
+# A text up to this long cannot reach any limit of Spark's parser.
+_SURE_CHARS = 1_000
+_FAR_LIMITS = {"maxNestingDepth": "2000", "maxNumLen": "2147483647", "maxStringLen": "2147483647"}
+# A run without quotes, escapes or control characters that ends a key.
+_LONG_KEY = r'"[^"\\\x00-\x1F]{1000,}+"(?=\s*:)'
 # Python's parser takes NaN and the infinities as numbers; standard JSON does not.
 _NON_FINITE = r"([\[:,]\s*)(?:NaN|-?Infinity)(?=\s*[,\]}])"
 
@@ -62,13 +67,22 @@ class JsonDocument:
 
 
 def parse_json_document(text: Column, allow_non_finite: bool = False) -> JsonDocument:
-    """One parse of ``text``.  Store ``.envelope`` as a column, then use ``.bound(name)``."""
+    """One parse of ``text``.  Store ``.envelope`` as a column, then use ``.bound(name)``.
+
+    By default Spark's parser refuses over 1,000 levels or digits and strings of 20 million characters.
+    What it refuses and is long enough for that is parsed again with far limits.  That on keys
+    (50,000 characters) cannot be set, so a long key is shortened first; nobody asks for it by name.
+    Levels stay limited to 2,000: the parser calls itself, and a stack that overflows ends a task's
+    whole executor.
+    """
     envelope = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
     if allow_non_finite:
         suspect = text.contains("NaN") | text.contains("Infinity")
         # Inside a string literal the swap changes letters only, never the structure.
         envelope = F.when(suspect, F.regexp_replace(envelope, _NON_FINITE, "$1null")).otherwise(envelope)
-    return JsonDocument(text, F.try_parse_json(envelope))
+    shortened = F.regexp_replace(envelope, _LONG_KEY, '"_"')
+    further = F.from_json(F.when(F.length(text) > _SURE_CHARS, shortened), "variant", _FAR_LIMITS)
+    return JsonDocument(text, F.coalesce(F.try_parse_json(envelope), further))
 
 
 def json_scalar(text: Column, key: str) -> Column:

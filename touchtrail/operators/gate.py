@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import (
     MISSING_COLUMNS_MESSAGE,
@@ -22,7 +22,6 @@ from ..constants import (
     REASON_MALFORMED_PREFIX,
     REASON_MISSING_KEYS_PREFIX,
     REASON_NOT_OBJECT,
-    REASON_TEXT_LIMIT,
     REQUIRED_COLUMNS,
     REQUIRED_JSON_KEYS,
 )
@@ -111,11 +110,29 @@ def stats_columns() -> list:
     ]
 
 
+def reject_rate(rejected: Column, total: Column) -> Column:
+    """Q7: percent of rejected rows at two places, 0 for an empty input; equal to Python's ``round``.
+
+    Python rounds the exact binary value, half to even, while Spark rounds its shortest decimal
+    text.  The fraction is therefore taken as a whole number of 2^-60 and divided exactly.  (Below
+    2^-8 a double may be finer than that; such a rate rounds to 0 either way.)
+    """
+    pct = rejected / total * 100
+    whole = F.floor(pct)
+    unit = F.lit(1 << 60).cast("decimal(19,0)")
+    hundredfold = ((pct - whole) * float(1 << 60)).cast("bigint").cast("decimal(19,0)") * 100
+    rest = hundredfold % unit
+    hundredths = ((hundredfold - rest) / unit).cast("bigint")
+    up = (rest * 2 > unit) | ((rest * 2 == unit) & (hundredths % 2 == 1))
+    rounded = (whole * 100 + hundredths + up.cast("int")) / F.lit(100.0)
+    return F.when(total == 0, F.lit(0.0)).otherwise(rounded)
+
+
 def gate_stats(judged: DataFrame, alert_pct: float = QUARANTINE_ALERT_PCT) -> DataFrame:
-    """Q7, Q8, Q10: counts, reject rate in percent (half-even, 0 when empty) and flags."""
+    """Q7, Q8, Q10: counts, reject rate in percent and flags."""
     total, valid = F.col("total_rows"), F.col("valid_rows")
     rejected = total - valid
-    rate = F.when(total == 0, F.lit(0.0)).otherwise(F.bround(rejected / total * 100, 2))
+    rate = reject_rate(rejected, total)
     return (
         judged.agg(*stats_columns())
         .select(total, valid, rejected.alias("quarantined_rows"), rate.alias("quarantine_rate_pct"))
@@ -147,20 +164,19 @@ def _parser_message(text: str | None) -> str | None:
     try:
         json.loads(text)
     except json.JSONDecodeError as error:
-        return REASON_MALFORMED_PREFIX + str(error)[:REASON_TEXT_LIMIT]
+        return REASON_MALFORMED_PREFIX + str(error)
     return REASON_MALFORMED
 
 
-@F.pandas_udf(T.StringType())
-def _parser_messages(texts: pd.Series) -> pd.Series:
-    return texts.map(_parser_message)
-
-
 def with_parser_messages(quarantine: DataFrame, json_col: str = "message_details") -> DataFrame:
     """Q3, optional: put the strict parser's own position text into malformed-JSON reasons.
 
     Runs Python on quarantined rows only; all other texts are sent as NULL.
     """
     malformed = F.col(REASON) == REASON_MALFORMED
-    message = _parser_messages(F.when(malformed, F.col(json_col)))
+
+    def messages(texts: pd.Series) -> pd.Series:
+        return texts.map(_parser_message)
+
+    message = F.pandas_udf(messages, "string")(F.when(malformed, F.col(json_col)))
     return quarantine.withColumn(REASON, F.coalesce(message, F.col(REASON)))

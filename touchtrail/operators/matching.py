@@ -20,8 +20,11 @@ from .ranking import top_row
 # Bounds of a broadcast: rows, and bytes of text in them.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Owners of one identity from which the join with day touches must be able to divide it.
+SHARED_BY = 10_000
 
 _OWNER_KEY = ["channel", "identity"]
+_SPLIT = "_split"
 _DAY_KEY = [*_OWNER_KEY, "interaction_date"]
 _INTERACTION = [
     "user_id",
@@ -59,7 +62,10 @@ def known_weights_only(events: DataFrame) -> DataFrame:
 
 
 def identities(crm: DataFrame) -> DataFrame:
-    """(channel, identity, user_id, conversion_date) of converted users."""
+    """(channel, identity, user_id, conversion_date) of converted users.
+
+    No event has a blank identity, so users without an address or number are left out here.
+    """
     pairs = F.array(
         F.struct(F.lit(EMAIL_CHANNEL).alias("channel"), F.col("user_email_normalized").alias("identity")),
         F.struct(F.lit(WHATSAPP_CHANNEL).alias("channel"), F.col("user_phone_normalized").alias("identity")),
@@ -67,7 +73,7 @@ def identities(crm: DataFrame) -> DataFrame:
     return (
         crm.where("is_converted")
         .select("user_id", "conversion_date", F.inline(pairs))
-        .where(F.col("identity").isNotNull())
+        .where(F.col("identity") != "")
     )
 
 
@@ -90,6 +96,17 @@ def broadcast_size(owners: DataFrame) -> tuple[int, int] | None:
     return size if _may_broadcast(size) else None
 
 
+def widely_shared(owners: DataFrame, size: tuple[int, int] | None, days: int) -> bool:
+    """TRUE when users too many to broadcast share one identity by the thousands.
+
+    Counted map-side over the users, who are few beside the events.
+    """
+    if _may_broadcast(size, days + 1):
+        return False
+    most = owners.groupBy(*_OWNER_KEY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return (most or 0) > SHARED_BY
+
+
 def _may_broadcast(size: tuple[int, int] | None, copies: int = 1) -> bool:
     return size is not None and size[0] * copies <= BROADCAST_ROWS and size[1] * copies <= BROADCAST_BYTES
 
@@ -108,7 +125,11 @@ def owned_events(events: DataFrame, owners: DataFrame, size: tuple[int, int] | N
 def interactions_of_owners(
     events: DataFrame, owners: DataFrame, size: tuple[int, int] | None
 ) -> DataFrame:
-    """Every event with each user who owns its identity, whatever the date."""
+    """Every event with each user who owns its identity, whatever the date.
+
+    An identity that several users share gives each of them every event; that is the rule, so the
+    result has events x owners of it.  The mart goes through `interactions_by_day` instead.
+    """
     users = owners.select(*_OWNER_KEY, "user_id")
     users = F.broadcast(users) if _may_broadcast(size) else users.hint("merge")
     return events.join(users, _OWNER_KEY).select(*_INTERACTION)
@@ -126,13 +147,25 @@ def day_touches(events: DataFrame) -> DataFrame:
 
 
 def interactions_by_day(
-    events: DataFrame, owners: DataFrame, size: tuple[int, int] | None, days: int = WINDOW_DAYS
+    events: DataFrame,
+    owners: DataFrame,
+    size: tuple[int, int] | None,
+    days: int = WINDOW_DAYS,
+    split: bool = False,
 ) -> DataFrame:
-    """Events (or day touches) inside the window of the users they belong to."""
-    windows = unrolled(owners, days)
+    """Events (or day touches) inside the window of the users they belong to.
+
+    Day touches come grouped by the join's key, and Spark then cannot divide a key.  ``split`` adds
+    a column to the key, so both sides are exchanged for the join itself and adaptive execution
+    divides a number that very many users share.  The rows are the same.
+    """
+    windows, keys = unrolled(owners, days), _DAY_KEY
     windows = F.broadcast(windows) if _may_broadcast(size, days + 1) else windows.hint("merge")
+    if split:
+        windows, events = (df.withColumn(_SPLIT, F.xxhash64(*_DAY_KEY)) for df in (windows, events))
+        keys = [*_DAY_KEY, _SPLIT]
     return (
-        events.join(windows, _DAY_KEY)
+        events.join(windows, keys)
         .select(*_INTERACTION, "conversion_date")
         .withColumn("days_before_conversion", F.datediff("conversion_date", "interaction_date"))
     )

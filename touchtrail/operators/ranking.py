@@ -44,9 +44,13 @@ def rank_interactions(df: DataFrame, partition: Sequence[str] = ("user_id",)) ->
     within = Window.partitionBy(*groups).orderBy(
         F.desc("interaction_ts"), F.asc("channel"), F.asc("raw_log_id")
     )
+    same = F.lit(True)
+    for name in groups:  # a user, day or time may be missing
+        same = same & F.col(f"r.{name}").eqNullSafe(F.col(f"o.{name}"))
+    numbered = df.withColumn("_local", F.row_number().over(within)).alias("r")
     return (
-        df.withColumn("_local", F.row_number().over(within))
-        .join(offsets, groups)
+        numbered.join(offsets.alias("o"), same)
+        .select("r.*", "o._offset")
         .withColumn("attribution_rank", F.col("_offset") + F.col("_local"))
         .drop("_minute", "_local", "_offset")
     )

@@ -22,6 +22,7 @@ from ..operators.matching import (
     interactions_of_owners,
     known_weights_only,
     owned_events,
+    widely_shared,
 )
 from ..operators.ranking import rank_interactions, top_row
 from ..session import stored
@@ -89,7 +90,7 @@ def _touches(events: DataFrame, owners: DataFrame, days: int) -> DataFrame:
     """The strongest event per identity and day, joined to the users it counts for."""
     size = broadcast_size(owners)
     strongest = day_touches(owned_events(events, owners, size))
-    return interactions_by_day(strongest, owners, size, days)
+    return interactions_by_day(strongest, owners, size, days, split=widely_shared(owners, size, days))
 
 
 def premium_users(

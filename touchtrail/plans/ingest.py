@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from ..constants import QUARANTINE_ALERT_PCT
 from ..operators.gate import ISO_UTC, judge, quarantined, stats_columns, validated
-from ..operators.history import deduplicate, new_rows
+from ..operators.history import deduplicate, has_key, new_copies, new_rows
 from ..session import scratch_table
 from ..sources.event_csv import read_event_csv
 from ..sources.tables import append_table, replace_table
@@ -47,7 +47,7 @@ def ingest_email_logs(
     quarantine_table: str = QUARANTINE_TABLE,
     write: bool = True,
     alert_pct: float = QUARANTINE_ALERT_PCT,
-    multi_line: bool | None = None,
+    multi_line: bool = True,
 ) -> IngestReport:
     """Read, judge, replace the valid table, append to the quarantine table.
 
@@ -89,11 +89,24 @@ def ingest_email_logs(
 
 
 def merge_new_events(
-    batch: DataFrame, table: str, newest_first: Sequence[Column], keys: Sequence[str] = ("event_id",)
+    batch: DataFrame,
+    table: str,
+    newest_first: Sequence[Column],
+    keys: Sequence[str] = ("event_id",),
+    held_in: Column | None = None,
 ) -> None:
     """Append the events a stored table does not hold yet, one row per key.
 
-    A rerun finds its own rows and adds nothing.
+    Rows whose key is missing or blank are events of their own and never merged.  They are told
+    by their content (all columns but those that begin with an underscore): of equal rows the
+    table holds as many as the batch with the most of them.  A rerun finds its own rows and adds
+    nothing.  ``held_in`` may narrow the stored rows to compare with, such as a range of days; the
+    caller then vouches that no key of the batch is stored outside.
     """
-    fresh = new_rows(deduplicate(batch, keys, newest_first), batch.sparkSession.table(table), keys)
-    append_table(fresh, table)
+    stored = batch.sparkSession.table(table)
+    if held_in is not None:
+        stored = stored.where(held_in)
+    columns = [c for c in stored.columns if not c.startswith("_")]
+    keyed = new_rows(deduplicate(batch.where(has_key(keys)), keys, newest_first), stored, keys)
+    keyless = new_copies(batch.where(~has_key(keys)), stored.where(~has_key(keys)), columns)
+    append_table(keyed.unionByName(keyless), table)

@@ -24,30 +24,19 @@ CSV_OPTIONS = {
 }
 
 
-def has_open_quotes(spark: SparkSession, path: str) -> bool:
-    """TRUE when some line holds an odd number of quotes, so a field may span lines.
-
-    A plain text scan: files are split, and the scan ends at the first such line.
-    """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-
-
 def event_schema(columns: list[str]) -> T.StructType:
     fields = [T.StructField(name, T.StringType()) for name in [*columns, CORRUPT]]
     return T.StructType(fields)
 
 
-def read_event_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_event_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Read one file, a folder or a glob.  A missing path raises Spark's own error.
 
-    Fields with line breaks force Spark to read each file in one task, files without them
-    are split.  ``multi_line=None`` looks first; pass a value to save that scan.
+    Fields may hold line breaks, so by default each file is read in one task, whatever it holds.
+    ``multi_line=False`` says that no field of these files does, and lets Spark split them.
     """
     columns = spark.read.options(header="true", quote='"', escape='"').csv(path).columns
     check_columns(columns)
-    if multi_line is None:
-        multi_line = has_open_quotes(spark, path)
     raw = (
         spark.read.schema(event_schema(columns))
         .options(**CSV_OPTIONS, multiLine=str(multi_line).lower())

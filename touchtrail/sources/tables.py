@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -14,22 +15,60 @@ MART_PARTITION = "conversion_date"
 MART_CLUSTERING = ("attributed_campaign", "attributed_channel")
 
 
-def replace_table(df: DataFrame, table: str) -> None:
+def _split(table: str) -> tuple[str, str]:
+    """Prefix with the dot (empty without a database) and bare name."""
+    database, dot, name = table.rpartition(".")
+    return f"{database}{dot}", name
+
+
+def _left_over(spark: SparkSession, table: str, kind: str) -> list[str]:
+    """Tables that an interrupted replacement left beside ``table``."""
+    prefix, name = _split(table)
+    where = f" IN {prefix[:-1]}" if prefix else ""
+    found = spark.sql(f"SHOW TABLES{where}").where(F.col("tableName").startswith(f"{name}__{kind}_".lower()))
+    return sorted(prefix + row.tableName for row in found.collect())
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Undo or finish a replacement that was interrupted.
+
+    The old rows stand under the backup name until the new ones have the table's name, so a
+    missing table comes back from there.  Without a backup (a first load) complete new rows take
+    the name: a table is listed only once its rows are written.  What is left then is dropped.
+    """
+    backups, fresh = (_left_over(spark, table, kind) for kind in ("old", "new"))
+    if (backups or fresh) and not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {(backups or fresh)[-1]} RENAME TO {table}")
+    for name in (*backups, *fresh):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """Replace all rows; a rerun gives the same table.
 
-    The new rows are written beside the old table and take its name when they are complete,
-    so a failed run leaves the old rows in place.  ``df`` may read the table it replaces.
+    The new rows are written under a name of their own.  Then the old table steps aside under a
+    backup name, the new one takes its place, and the backup goes: at every moment one complete
+    copy is listed, and the next run puts it in place (`recover_table`).  ``df`` may read the table
+    it replaces.  One run at a time may replace a table.
     """
-    spark, fresh = df.sparkSession, f"{table}__new"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    df.write.format("parquet").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    recover_table(spark, table)
+    prefix, name = _split(table)
+    fresh, backup = f"{prefix}{name}__new_{run}", f"{prefix}{name}__old_{run}"
+    df.write.format("parquet").partitionBy(*partition_by).saveAsTable(fresh)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {backup}")
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    """Add rows, creating the table on first use."""
-    df.write.format("parquet").mode("append").saveAsTable(table)
+    """Add rows, creating the table on first use; an existing one keeps its partitioning."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        df.select(*spark.table(table).columns).write.insertInto(table)
+    else:
+        df.write.format("parquet").saveAsTable(table)
 
 
 def append_daily(df: DataFrame, table: str, day: str = "ingest_date") -> None:

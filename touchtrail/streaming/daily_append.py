@@ -9,7 +9,8 @@ from ..operators.gate import CORRUPT, ISO_UTC, check_columns, judge, quarantined
 from ..session import require_configured, scratch_table
 from ..sources.event_csv import CSV_OPTIONS, event_schema
 
-_PARTITIONS = ("ingest_date", "batch_id")
+_PARTITIONS = ("ingest_date", "run_id", "batch_id")
+_QUERY_ID = "sql.streaming.queryId"
 
 
 def append_new_files(
@@ -25,7 +26,9 @@ def append_new_files(
 
     ``columns`` is the header order of the files.  ``ingest_date`` is the day a file
     arrived.  Each batch overwrites its own partitions only, so a batch repeated after a
-    failure leaves no copies.
+    failure leaves no copies.  ``run_id`` is the identity Spark keeps in the checkpoint: other
+    streams into the same target, and a stream whose checkpoint was lost, write elsewhere.  (A
+    stream without its checkpoint reads all files again, beside the partitions of the lost run.)
     """
     require_configured(spark)
     check_columns(columns)
@@ -43,7 +46,9 @@ def append_new_files(
     ).withColumn("_ingested_at", F.date_format(F.current_timestamp(), ISO_UTC))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        with scratch_table(judge(batch).withColumn("batch_id", F.lit(batch_id))) as rows:
+        run = F.lit(spark.sparkContext.getLocalProperty(_QUERY_ID))
+        named = judge(batch).withColumns({"run_id": run, "batch_id": F.lit(batch_id)})
+        with scratch_table(named) as rows:
             for part, path in ((validated(rows), valid_path), (quarantined(rows), quarantine_path)):
                 (
                     part.write.mode("overwrite")
