@@ -193,7 +193,7 @@ def drop_copies(
         .withColumnRenamed(sha, rank_id)
     )
     staying = (
-        repeated.join(largest, F.col(sha) == F.col(rank_id))
+        repeated.join(largest.hint("merge"), F.col(sha) == F.col(rank_id))
         .where(F.col(id_col).cast("bigint").eqNullSafe(F.col(best)))
         .drop(rank_id, best)
         .repartition(sha)  # a large group is split in the join, which the next step alone would forbid

@@ -237,10 +237,15 @@ def take_mixture(
     )
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()))
     mixed = _mixed(rows.withColumn("key", F.xxhash64("doc_id", "source", "size")), weights, share, cap, seed)
-    takes = stored(mixed.groupBy("a", "b").agg(F.sum("copies").alias("takes"), F.count("*").alias("alike")).where("takes > 0"))
-    takes = takes.select(F.col("a").alias(a), F.col("b").alias(b), F.col("takes").alias(n), (F.col("alike") > 1).alias("_alike"))
-    found = docs.join(takes, (digests[0] == F.col(a)) & (digests[1] == F.col(b)))
-    alone = found.where("NOT _alike").drop("_alike")
-    alike = found.where("_alike").drop("_alike").dropDuplicates([a, b])
+    takes = stored(mixed.groupBy("a", "b").agg(F.sum("copies").alias("n"), F.count("*").alias("alike")).where("n > 0"))
+
+    def taken(part: DataFrame) -> DataFrame:
+        # Texts are exchanged once, at every size: a broadcast of choices would grow with the documents.
+        named = part.select(F.col("a").alias(a), F.col("b").alias(b), F.col("n").alias(n)).hint("merge")
+        return docs.join(named, (digests[0] == F.col(a)) & (digests[1] == F.col(b)))
+
+    found, alike = taken(takes.where("alike = 1")), takes.where("alike > 1")
+    if not alike.isEmpty():
+        found = found.unionByName(taken(alike).dropDuplicates([a, b]))
     times = F.explode(F.array_repeat(F.lit(0), F.col(n).cast("int")))
-    return alone.unionByName(alike).select(*docs.columns, times.alias(a)).select(*docs.columns)
+    return found.select(*docs.columns, times.alias(a)).select(*docs.columns)

@@ -206,10 +206,12 @@ def _components(marks: DataFrame, max_bits: int) -> DataFrame:
     distinct = stored(marks.groupBy("mark").agg(F.min("doc_id").alias("least")))
     links = stored(near_links(distinct.select("mark"), max_bits))
     roots = connected_components(links)
-    rooted = distinct.join(roots, distinct["mark"] == roots["node"], "left").select(
-        "mark", "least", F.coalesce("root", "mark").alias("root")
+    rooted = stored(
+        distinct.join(roots, distinct["mark"] == roots["node"], "left").select(
+            "mark", "least", F.coalesce("root", "mark").alias("root")
+        )
     )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     named = stored(rooted.select("mark", "root").join(least, "root"))
     return marks.join(named, "mark").select("doc_id", "mark", "root", "component_id")
 
@@ -228,19 +230,22 @@ def drop_near_copies(
     marks = stored(fingerprints(docs, id_col, text_col, shingle_words))
     found = stored(_components(marks, max_bits))
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stored(first.groupBy("doc_id").agg(F.count("*").alias("n"), F.collect_set("root").alias("roots")))
-    doc, n, roots, mark, one = fresh(docs, "_doc", "_n", "_roots", "_mark", "_one")
-    kept = kept.select(F.col("doc_id").alias(doc), F.col("n").alias(n), F.col("roots").alias(roots))
-    rows = docs.join(kept, F.col(id_col).cast("bigint").eqNullSafe(F.col(doc)))
-    alone = rows.where(F.col(n) == 1).select(*docs.columns)
-    ids = rows.where(F.col(n) > 1).select(*docs.columns)
-    # Ids that several rows share: fingerprint those rows again to tell which is which.
-    again = _tied_rows(ids, id_col, text_col, shingle_words, mark)
-    marked = found.select(F.col("mark").alias("_m"), F.col("root").alias(one), F.col("component_id").alias(doc)).distinct()
+    kept = stored(first.groupBy("doc_id").agg(F.count("*").alias("n")))
+    doc, mark, root, least = fresh(docs, "_doc", "_mark", "_root", "_least")
+    # Texts are exchanged once, at every size: a broadcast of ids would grow with the documents.
+    ids = kept.where("n = 1").select(F.col("doc_id").alias(doc)).hint("merge")
+    alone = docs.join(ids, F.col(id_col).cast("bigint").eqNullSafe(F.col(doc))).select(*docs.columns)
+    tied_ids = kept.where("n > 1").select(F.col("doc_id").alias(doc))
+    if tied_ids.isEmpty():
+        return alone
+    # Ids that several rows share: those rows are fingerprinted again to tell which is which.
+    rows = docs.join(tied_ids, F.col(id_col).cast("bigint").eqNullSafe(F.col(doc))).drop(doc)
+    known = found.select(F.col("mark").alias(doc), F.col("root").alias(root), F.col("component_id").alias(least)).distinct()
     tied = (
-        again.join(marked, F.col(mark) == F.col("_m"))
-        .where(F.col(id_col).cast("bigint").eqNullSafe(F.col(doc)))
-        .dropDuplicates([one])
+        _tied_rows(rows, id_col, text_col, shingle_words, mark)
+        .join(known, F.col(mark) == F.col(doc))
+        .where(F.col(id_col).cast("bigint").eqNullSafe(F.col(least)))
+        .dropDuplicates([root])
         .select(*docs.columns)
     )
     return alone.unionByName(tied)
