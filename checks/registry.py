@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import touchtrail as tt
 from touchtrail import operators as ops
-from touchtrail.constants import LEGACY_TAG_PATTERN, LOCAL_ZONE
+from touchtrail.constants import LEGACY_TAG_PATTERN, LOCAL_ZONE, WINDOW_DAYS
 from touchtrail.functions import wall_clock_from_text
+from touchtrail.operators import matching
 from touchtrail.plans import layers
 from touchtrail.session import scratch_path
 from touchtrail.sources import append_daily, drop_expired_partitions, replace_mart, replace_table
@@ -25,7 +26,7 @@ RETENTION_AS_OF = dt.date(2024, 4, 10)
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Random keys and load times differ on every run, so they are left out of the results.
-_UNSTABLE = ("stg_id", "attribution_id", "_loaded_at", "_created_at", "_quarantined_at")
+_UNSTABLE = ("stg_id", "_loaded_at", "_created_at", "_quarantined_at")
 
 
 def _stable(df: DataFrame) -> DataFrame:
@@ -108,6 +109,49 @@ def _write_csv(logs: DataFrame, folder: str) -> None:
     )
 
 
+def _shuffled(build: Callable[..., DataFrame], *args) -> Query:
+    """The same query with every user side taken for too large to broadcast."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        before, matching.BROADCAST_ROWS = matching.BROADCAST_ROWS, 0
+        try:
+            return _stable(build(*_staged(spark, sf_dir), *args))
+        finally:
+            matching.BROADCAST_ROWS = before
+
+    return run
+
+
+def _long_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-mail logs whose documents also hold what is beyond the parser's usual limits."""
+    logs = derived.email_logs(_events(spark, sf_dir))
+    number = F.substring("event_id", 2, 20).cast("bigint")
+    extra = (
+        F.when(number % 5 == 0, F.concat(F.repeat(F.lit("["), F.lit(1200)), F.repeat(F.lit("]"), F.lit(1200))))
+        .when(number % 5 == 1, F.repeat(F.lit("7"), F.lit(1500)))
+        .when(number % 5 == 2, F.concat(F.lit('{"'), F.repeat(F.lit("k"), F.lit(60_000)), F.lit('": 1}')))
+        .otherwise(F.concat(F.repeat(F.lit("["), F.lit(1200)), F.repeat(F.lit("]"), F.lit(1199))))
+    )
+    opened = F.expr("left(message_details, length(message_details) - 1)")
+    longer = F.concat(opened, F.lit(', "extra": '), extra, F.lit("}"))
+    return logs.withColumn("message_details", F.when(F.col("message_details").endswith("}"), longer).otherwise(F.col("message_details")))
+
+
+def gate_long_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reasons over documents with deep nesting, long numbers and long keys, of which some are broken."""
+    return ops.judge(_long_details(spark, sf_dir)).select("event_id", "_error_reason")
+
+
+def email_staged_long_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign codes of the same documents."""
+    return tt.stage_email(_long_details(spark, sf_dir)).select("source_id", "campaign_code", "is_valid_json")
+
+
+def duplicate_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 where there is something to find: users of the matched interactions, who come many times."""
+    return tt.duplicate_users(tt.interactions_in_window(*_staged(spark, sf_dir)))
+
+
 def mart_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store the documented mart, then recompute a range of days under the other mode."""
     staged = _staged(spark, sf_dir)
@@ -174,8 +218,8 @@ def raw_daily_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
-def mart_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw tables to staging tables and views to the stored mart."""
+def _layers(spark: SparkSession, sf_dir: str) -> str:
+    """All layers in a database of their own, whose name is returned."""
     events, database = _events(spark, sf_dir), _scratch_database(spark)
     replace_table(derived.email_logs(events), f"{database}.{layers.RAW_EMAIL}")
     replace_table(derived.whatsapp_logs(events), f"{database}.{layers.RAW_WHATSAPP}")
@@ -184,7 +228,21 @@ def mart_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     tt.refresh_email(spark, database, database)
     tt.refresh_whatsapp(spark, database, database)
     tt.refresh_mart(spark, database, database)
-    return _stable(spark.table(f"{database}.{layers.MART}"))
+    tt.refresh_gold(spark, database, database)
+    return database
+
+
+def mart_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tables to staging tables and views to the stored mart."""
+    return _stable(spark.table(f"{_layers(spark, sf_dir)}.{layers.MART}"))
+
+
+def dim_campaigns_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_layers(spark, sf_dir)}.{layers.CAMPAIGNS}")
+
+
+def agg_campaign_daily_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_layers(spark, sf_dir)}.{layers.CAMPAIGN_DAILY}")
 
 
 def daily_stream_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,6 +279,13 @@ def queries() -> dict[str, Query]:
         "premium_users": _over_staged(tt.premium_users),
         "attribution_documented": _over_staged(tt.attribute, "documented"),
         "attribution_as_written": _over_staged(tt.attribute, "as_written"),
+        "attribution_documented_shuffled": _shuffled(tt.attribute, "documented"),
+        "attribution_as_written_shuffled": _shuffled(tt.attribute, "as_written"),
+        "attribution_per_conversion": _over_staged(tt.attribute, "documented", WINDOW_DAYS, "conversion"),
+        "interactions_in_window_shuffled": _shuffled(tt.interactions_in_window),
+        "duplicate_contacts": duplicate_contacts,
+        "gate_long_documents": gate_long_documents,
+        "email_staged_long_documents": email_staged_long_documents,
         "attribution_distribution": _over_mart(lambda mart, _: tt.attribution_distribution(mart)),
         "attribution_duplicates": _over_mart(lambda mart, _: tt.duplicate_users(mart)),
         "unattributed_converters": _over_mart(tt.unattributed_converters),
@@ -236,5 +301,7 @@ def queries() -> dict[str, Query]:
         "events_enriched": events_enriched,
         "raw_daily_retained": raw_daily_retained,
         "mart_from_layers": mart_from_layers,
+        "dim_campaigns_stored": dim_campaigns_stored,
+        "agg_campaign_daily_stored": agg_campaign_daily_stored,
         "daily_stream_valid": daily_stream_valid,
     }

@@ -16,6 +16,7 @@ from .plans import (
     ranked_interactions,
     refresh_crm,
     refresh_email,
+    refresh_gold,
     refresh_mart,
     refresh_whatsapp,
     stage_crm,
@@ -48,6 +49,7 @@ __all__ = [
     "ranked_interactions",
     "refresh_crm",
     "refresh_email",
+    "refresh_gold",
     "refresh_mart",
     "refresh_whatsapp",
     "stage_crm",

@@ -9,8 +9,11 @@ def surrogate_key(*natural_key: str) -> Column:
     """A text key per row.
 
     Without arguments a random UUID, new on every run.  With column names the digest of
-    their values: the same row keeps its key over reruns, backfills and task retries.
+    their values: the same row keeps its key over reruns, backfills and task retries.  Each value
+    is written behind its length and a missing one as a dash, so no two keys read alike.
     """
     if not natural_key:
         return F.uuid()
-    return F.sha2(F.concat_ws("~", *[F.col(c).cast("string") for c in natural_key]), 256)
+    texts = [F.col(c).cast("string") for c in natural_key]
+    told = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*told), 256)

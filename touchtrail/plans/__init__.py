@@ -8,7 +8,7 @@ from .attribution import (
     unified_interactions,
 )
 from .ingest import IngestReport, ingest_email_logs, merge_new_events
-from .layers import refresh_crm, refresh_email, refresh_mart, refresh_whatsapp, staging_tables
+from .layers import refresh_crm, refresh_email, refresh_gold, refresh_mart, refresh_whatsapp, staging_tables
 from .mart import (
     attribution_distribution,
     backfill,
@@ -37,6 +37,7 @@ __all__ = [
     "ranked_interactions",
     "refresh_crm",
     "refresh_email",
+    "refresh_gold",
     "refresh_mart",
     "refresh_whatsapp",
     "stage_crm",
