@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -19,7 +20,8 @@ from .common import fresh, ready, text_or_empty
 
 TRAIN_ROWS = 20_000
 SLOTS = 1 << 22
-SURE = 15.0
+SURE = 9.0
+SIGNS_TO_EXPLAIN = 3
 THRESHOLD = 0.65
 MAX_SHIFT = 1.0
 CACHED_WORDS = 300_000
@@ -118,22 +120,49 @@ def _strongest(signs: list[float]) -> np.ndarray:
     return np.array([1.0, max(signs, default=0.0), min(len(signs), 5), float(bool(signs))])
 
 
-def sure_signs(counts: dict[int, tuple[int, int]], yes: int, no: int) -> dict[int, float]:
-    """Features that mark toxic texts, with the log of how much more frequent they are there.
+def _sure(there: int, elsewhere: int, yes: int, no: int) -> float:
+    """How much more frequent a feature is in toxic texts, as a log; 0 unless that is beyond doubt.
 
-    ``counts`` has for each slot the toxic texts and the others it was met in.  A sign is sixty
-    times as frequent in toxic texts, and so often that chance does not explain it (``SURE`` nats
-    of the likelihood ratio, which leaves hardly one false sign among a million features).
+    It must be sixty times as frequent there, and so often that chance does not explain it (``SURE``
+    nats of the likelihood ratio, which leaves about a hundred false signs among a million features, before they are chosen from).
     """
-    out = {}
-    for slot, (there, elsewhere) in counts.items():
-        rate = np.log((there + 0.5) / max(1, yes)) - np.log((elsewhere + 0.5) / max(1, no))
-        total, share = there + elsewhere, yes / max(1, yes + no)
-        ratio = there * np.log(there / (total * share)) if there and share else 0.0
-        ratio += elsewhere * np.log(elsewhere / (total * (1 - share))) if elsewhere else 0.0
-        if rate > np.log(60) and ratio > SURE:
-            out[slot] = float(rate)
-    return out
+    rate = np.log((there + 0.5) / max(1, yes)) - np.log((elsewhere + 0.5) / max(1, no))
+    total, share = there + elsewhere, yes / max(1, yes + no)
+    ratio = there * np.log(there / (total * share)) if there and share else 0.0
+    ratio += elsewhere * np.log(elsewhere / (total * (1 - share))) if elsewhere else 0.0
+    return float(rate) if rate > np.log(60) and ratio > SURE else 0.0
+
+
+def choose_signs(
+    counts: dict[int, tuple[int, int]], toxic_texts: list[np.ndarray], yes: int, no: int
+) -> dict[int, float]:
+    """Signs of toxic texts, the one met in most texts first; later ones must explain what is left.
+
+    Copies of one toxic text share all their rare words, which would pass for signs.  Once a text is
+    explained by a few signs it no longer speaks for others, so those words do not.
+    ``counts`` has for each candidate the toxic and the other texts it is met in, ``toxic_texts`` the
+    candidates of each toxic text.
+    """
+    holders: dict[int, set[int]] = {}
+    for k, found in enumerate(toxic_texts):
+        for slot in found.tolist():
+            holders.setdefault(slot, set()).add(k)
+    signs: dict[int, float] = {}
+    waiting = [(-len(texts), slot) for slot, texts in holders.items()]
+    heapq.heapify(waiting)
+    explained = Counter()
+    while waiting:
+        most, slot = heapq.heappop(waiting)
+        left = {k for k in holders[slot] if explained[k] < SIGNS_TO_EXPLAIN}
+        if len(left) < -most:
+            holders[slot] = left
+            if left:
+                heapq.heappush(waiting, (-len(left), slot))
+            continue
+        if _sure(len(left), counts[slot][1], yes, no):
+            signs[slot] = _sure(*counts[slot], yes, no)
+            explained.update(left)
+    return signs
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, limit: int = TRAIN_ROWS) -> DataFrame:
@@ -176,7 +205,17 @@ def train_on(
         return Model(np.eye(1, _SHAPE)[0] * -10.0, {}, np.array([-10.0, 0, 0, 0]))
     counted = sample.mapInArrow(_count_slots, "slot int, there bigint, elsewhere bigint").groupBy("slot")
     often = counted.agg(F.sum("there").alias("there"), F.sum("elsewhere").alias("elsewhere")).where("there >= 3")
-    signs = sure_signs({r.slot: (r.there, r.elsewhere) for r in often.toLocalIterator()}, yes, no)
+    counts = {r.slot: (r.there, r.elsewhere) for r in often.toLocalIterator()}
+    likely = {slot: 1.0 for slot, (there, elsewhere) in counts.items() if _sure(there, elsewhere, yes, no)}
+    candidates = SparkSession.active().sparkContext.broadcast(np.array(sorted(likely), np.int32))
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.intersect1d(slots(t), candidates.value).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["slots"])
+
+    toxic_texts = sample.where("toxic = 1").mapInArrow(held, "slots binary").toLocalIterator()
+    signs = choose_signs(counts, [np.frombuffer(r.slots, np.int32) for r in toxic_texts], yes, no)
     draft = SparkSession.active().sparkContext.broadcast(Model(np.zeros(_SHAPE), signs, np.zeros(4)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
