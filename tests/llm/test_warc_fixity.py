@@ -18,8 +18,15 @@ def frame(spark, rows):
 
 
 def replica(spark, rows, records=16):
-    laid = warc_fixity.archived(frame(spark, rows), records=records)
-    return laid, laid.select("archive", "offset", warc_fixity.record_bytes(F.col("url"), F.col("html")).alias("record"))
+    record = warc_fixity.record_bytes(F.col("url"), F.col("html"))
+    pages = frame(spark, rows).drop("archive", "offset").withColumn("record", record)
+    sized = pages.withColumn("n_bytes", F.octet_length("record").cast("bigint"))
+    laid = warc_fixity.archived(sized, ["page_id", "url", "html"], records=records)
+    return laid, laid.select("archive", "offset", "record")
+
+
+def audit(first, second, *args):
+    return warc_fixity.audit(warc_fixity.leaves(first), warc_fixity.leaves(second), *args)
 
 
 def test_records_fill_archives_without_gaps(spark):
@@ -51,7 +58,7 @@ def test_finds_exactly_the_damage(spark, range_bytes):
         del damaged[k]
     extra = (3, 10**6, b"new")
     other = spark.createDataFrame([*damaged.values(), extra], "archive bigint, offset bigint, record binary")
-    found = {(r.archive, r.offset): r for r in warc_fixity.audit(records, other, range_bytes).collect()}
+    found = {(r.archive, r.offset): r for r in audit(records, other, range_bytes).collect()}
     want = {rows[k][:2]: "changed" for k in changed} | {rows[k][:2]: "missing" for k in lost} | {extra[:2]: "extra"}
     assert {k: r.status for k, r in found.items()} == want
     for k in changed:
@@ -62,10 +69,10 @@ def test_finds_exactly_the_damage(spark, range_bytes):
 
 def test_equal_and_empty_replicas(spark):
     _, records = replica(spark, pages(40))
-    assert warc_fixity.audit(records, records).count() == 0
+    assert audit(records, records).count() == 0
     none = records.limit(0)
-    assert warc_fixity.audit(none, none).count() == 0
-    assert {r.status for r in warc_fixity.audit(records, none).collect()} == {"missing"}
+    assert audit(none, none).count() == 0
+    assert {r.status for r in audit(records, none).collect()} == {"missing"}
     assert replica(spark, [])[1].count() == 0
 
 
@@ -77,5 +84,5 @@ def test_branches_that_agree_are_not_descended(spark, monkeypatch):
     seen = []
     children = warc_fixity._children
     monkeypatch.setattr(warc_fixity, "_children", lambda *a: seen.append(children(*a)) or seen[-1])
-    assert warc_fixity.audit(records, other).count() == 1
+    assert audit(records, other).count() == 1
     assert seen and all(df.count() <= warc_fixity.FAN_OUT for df in seen)

@@ -111,7 +111,7 @@ def ranked(df: DataFrame, *order: Column, rank: str = "rank") -> DataFrame:
     Rows are sorted by ranges and stored; a row's number is its place in its range after the
     sizes of the ranges in front (one number per range goes through the driver).
     """
-    place, part = fresh(df, "_place", "_part")
+    place, part, front = fresh(df.withColumn(rank, F.lit(0)), "_place", "_part", "_front")
     rows = stored(
         df.orderBy(*order)
         .withColumn(place, F.monotonically_increasing_id())
@@ -120,10 +120,10 @@ def ranked(df: DataFrame, *order: Column, rank: str = "rank") -> DataFrame:
     sizes = sorted(tuple(r) for r in rows.groupBy(part).count().collect())
     before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
     offsets = df.sparkSession.createDataFrame(
-        [(p, b) for (p, _), b in zip(sizes, before)], f"{part} bigint, _before bigint"
+        [(p, b) for (p, _), b in zip(sizes, before)], f"{part} bigint, {front} bigint"
     )
-    number = F.col("_before") + F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
-    return rows.join(F.broadcast(offsets), part).withColumn(rank, number).drop(part, place, "_before")
+    number = F.col(front) + F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(offsets), part).withColumn(rank, number).drop(part, place, front)
 
 
 def connected_components(links: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stored
 from . import (
     byte_bpe,
     exact_dedup,
@@ -66,14 +67,24 @@ def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     In the replica one page of ``DAMAGE_EVERY`` has its first byte overwritten and another is lost.
     """
-    pages = warc_fixity.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    place, record = ["archive", "offset"], warc_fixity.record_bytes(F.col("url"), F.col("html")).alias("record")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     turn = F.pmod(F.col("page_id"), F.lit(DAMAGE_EVERY))
     body = F.when(turn == CHANGED, F.overlay("html", F.lit("#"), F.lit(1), F.lit(1))).otherwise(F.col("html"))
-    kept = pages.where((turn != LOST) | turn.isNull())
-    replica = kept.select(*place, warc_fixity.record_bytes(F.col("url"), body).alias("record"))
-    found = warc_fixity.audit(pages.select(*place, record), replica)
-    return found.join(pages.select(*place, "page_id"), place).select("page_id", "status", "first_sha256", "second_sha256")
+    sound, other = (warc_fixity.record_bytes(F.col("url"), b) for b in (F.col("html"), body))
+    hashed = pages.select(
+        F.col("page_id").cast("bigint").alias("page_id"),
+        "url",
+        F.octet_length(sound).cast("bigint").alias("n_bytes"),
+        F.octet_length(other).cast("bigint").alias("n_other"),
+        warc_fixity.leaf(sound).alias("digest"),
+        warc_fixity.leaf(other).alias("other"),
+        F.coalesce(turn != LOST, F.lit(True)).alias("there"),
+    )
+    laid = stored(warc_fixity.archived(hashed, ["page_id", "url", "digest"]))
+    first = laid.select("archive", "offset", "n_bytes", "digest")
+    second = laid.where("there").select("archive", "offset", F.col("n_other").alias("n_bytes"), F.col("other").alias("digest"))
+    found = warc_fixity.audit(first, second).join(laid.select("archive", "offset", "page_id"), ["archive", "offset"])
+    return found.select("page_id", "status", "first_sha256", "second_sha256")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,38 +29,32 @@ def record_bytes(url: Column, body: Column) -> Column:
     return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n")).cast("binary")
 
 
-def archived(
-    pages: DataFrame,
-    id_col: str = "page_id",
-    url_col: str = "url",
-    html_col: str = "html",
-    records: int = RECORDS_PER_ARCHIVE,
-) -> DataFrame:
-    """``(page_id, url, html, archive, offset, n_bytes)``: pages laid out as records of WARC archives.
-
-    Pages in order of id, URL and text fill archives of ``records`` records; the offset is where a
-    record starts in its archive.  Equal rows lie side by side.  The layout is stored.
+def leaf(record: Column) -> Column:
+    """Digest of a record's bytes, set apart from those of nodes by its first byte."""
+    return F.unhex(F.sha2(F.concat(F.lit(b"\x00"), record), 256))
+
+
+def archived(rows: DataFrame, order: list[str], records: int = RECORDS_PER_ARCHIVE) -> DataFrame:
+    """``rows`` (with ``n_bytes`` of their records) and where each lies: ``archive`` and ``offset``.
+
+    Rows in the given order fill archives of ``records`` records; the offset is where a record
+    starts in its archive.  Rows equal in that order may change places, as their records may.
+    Give it digests instead of bodies, and no body moves.
     """
-    html = F.col(html_col)
-    rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), html.alias("html"))
     place = fresh(rows, "place")[0]
-    numbered = ranked(rows, F.col("page_id"), F.col("url"), F.xxhash64("html"), rank=place)
-    laid = numbered.withColumn("archive", F.floor(F.col(place) / records)).withColumn(
-        "n_bytes", F.octet_length(record_bytes(F.col("url"), F.col("html"))).cast("bigint")
-    )
+    numbered = ranked(rows, *(F.col(c) for c in order), rank=place)
     before = Window.partitionBy("archive").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = laid.select(place, "archive", "n_bytes").withColumn("offset", F.coalesce(F.sum("n_bytes").over(before), F.lit(0)))
-    return numbered.join(stored(sizes), place).drop(place)
+    return (
+        numbered.withColumn("archive", F.floor(F.col(place) / records))
+        .withColumn("offset", F.coalesce(F.sum("n_bytes").over(before), F.lit(0)))
+        .drop(place)
+    )
 
 
 def leaves(replica: DataFrame) -> DataFrame:
-    """``(archive, offset, n_bytes, digest)`` of ``replica(archive, offset, record)``."""
-    return replica.select(
-        "archive",
-        "offset",
-        F.octet_length("record").cast("bigint").alias("n_bytes"),
-        F.unhex(F.sha2(F.concat(F.lit(b"\x00"), F.col("record")), 256)).alias("digest"),
-    )
+    """``(archive, offset, n_bytes, digest)`` of ``replica(archive, offset, record)``, hashed where it lies."""
+    size = F.octet_length("record").cast("bigint").alias("n_bytes")
+    return replica.select("archive", "offset", size, leaf(F.col("record")).alias("digest"))
 
 
 def _node(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -80,7 +74,7 @@ class Tree:
     """
 
     def __init__(self, records: DataFrame, range_bytes: int = RANGE_BYTES) -> None:
-        self.records = stored(leaves(records).withColumn("part", F.floor(F.col("offset") / range_bytes)))
+        self.records = stored(records.withColumn("part", F.floor(F.col("offset") / range_bytes)))
         self.levels = [stored(_node(self.records, _KEY, ["offset", "n_bytes"]))]
 
     def grow(self, within: int, across: int) -> None:
@@ -103,7 +97,7 @@ def _depth(top: int | None) -> int:
 def audit(first: DataFrame, second: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Records in which two replicas differ: archive, offset, status, first_sha256, second_sha256.
 
-    Both are ``(archive, offset, record)``.  Roots are compared; where they differ, the children of
+    Both are ``(archive, offset, n_bytes, digest)``, as `leaves` gives them.  Roots are compared; where they differ, the children of
     nodes that differ are, level by level, so equal branches are never looked at again.  Status is
     ``changed``, ``missing`` (not in the second) or ``extra`` (only there).  Records at a shared
     offset are compared in order; equal replicas and empty ones give no rows.
