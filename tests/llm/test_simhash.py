@@ -111,6 +111,23 @@ def test_one_document_of_each_component_stays(spark):
         assert i == min(ids, default=None)
 
 
+def test_ids_that_lie_in_several_components(spark):
+    rows = [
+        (5, prose(1), "a"),
+        (2, prose(2), "a"),
+        (5, prose(2), "a"),
+        (None, prose(3), "a"),
+        (None, prose(2), "b"),
+        (7, prose(4), "a"),
+        (None, prose(4), "a"),
+        (9, prose(5), "a"),
+        (9, prose(6), "a"),
+    ]
+    kept = simhash.drop_near_copies(frame(spark, rows))
+    want = [rows[k][:2] for k in (0, 1, 3, 5, 7, 8)]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(want)
+
+
 def test_hash_is_the_one_of_the_engine(spark):
     want = spark.range(1).select(F.xxhash64(F.lit("a b c d")).alias("h")).first().h % (1 << 64)
     assert simhash.fingerprint(b"A b  C\td") == want

@@ -225,12 +225,13 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` with one row of each component, columns as they were: the one with the least id.
 
-    Of rows that share that id, one stays; of a component without ids, one row stays.
+    Of rows that share that id, one stays; of a component without ids, one row stays.  Rows whose id
+    occurs once in all of ``docs`` are told by it; others, also of other components, by their texts.
     """
     marks = stored(fingerprints(docs, id_col, text_col, shingle_words))
     found = stored(_components(marks, max_bits))
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stored(first.groupBy("doc_id").agg(F.count("*").alias("n")))
+    first = F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("first")
+    kept = stored(found.groupBy("doc_id").agg(F.count("*").alias("n"), first).where("first").select("doc_id", "n"))
     doc, mark, root, least = fresh(docs, "_doc", "_mark", "_root", "_least")
     # Texts are exchanged once, at every size: a broadcast of ids would grow with the documents.
     ids = kept.where("n = 1").select(F.col("doc_id").alias(doc)).hint("merge")
