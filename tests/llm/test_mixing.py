@@ -105,3 +105,18 @@ def test_empty_tables(spark):
     assert mixing.take_mixture(empty(spark)).count() == 0
     blank = frame(spark, [(1, None, "a"), (2, "  ", None)])
     assert [r.taken for r in mixing.mix_sources(blank).collect()] == [0, 0]
+
+
+def test_rows_alike_are_dealt_to_many_blocks(spark, monkeypatch):
+    """Rows without an id and of one size have luck of their own, and reruns agree."""
+    units = []
+    chosen = mixing.balanced_choice
+    monkeypatch.setattr(mixing, "balanced_choice", lambda rows: units.append(rows) or chosen(rows))
+    rows = [(None, f"w{k} x y", "a") for k in range(400)] + [(k, prose(k, 9), "b") for k in range(100)]
+    for mix in (mixing.mix_sources, mixing.take_mixture):
+        one, other = (Counter(map(tuple, mix(frame(spark, rows, n)).collect())) for n in (1, 5))
+        assert one == other
+    assert len(units) == 4
+    for rows in units:
+        alike = rows.where("source = 'a'")
+        assert alike.select("luck").distinct().count() == alike.count() > 0

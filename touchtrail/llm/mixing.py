@@ -163,6 +163,22 @@ def balanced_choice(units: DataFrame) -> DataFrame:
     return out
 
 
+def _told_apart(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` with a ``key`` of its own for each: those alike in it are numbered, in the given order.
+
+    A key that one row holds stays as it is.  Every join is on stored rows, so a key with many can be split.
+    """
+    count = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    if count.isEmpty():
+        return rows
+    many = ranked(rows.join(count, "key", "left_semi").select("key", *order), F.col("key"), *map(F.col, order), rank="n")
+    many = stored(many)
+    first = stored(many.groupBy("key").agg(F.min("n").alias("first")))
+    place = F.col("n") - F.col("first")
+    named = many.join(first, "key").select("row", F.xxhash64("key", place).alias("_key"))
+    return rows.join(stored(named), "row", "left").withColumn("key", F.coalesce("_key", "key")).drop("_key")
+
+
 def _mixed(rows: DataFrame, weights, share, cap, seed) -> DataFrame:
     """``rows(row, doc_id, source, size, key)`` with source_size, target and the copies taken."""
     targets = stored(source_targets(rows, weights, share, cap)).select(F.col("source").alias("_s"), "source_size", "target")
@@ -193,8 +209,8 @@ def mix_sources(
     A source's documents are all taken the whole number of times its target asks for; for the rest
     the cube method takes some once more, so that documents and words come out right.  Sizes are
     counted in words; documents without words, and sources without, take nothing.  Choices depend
-    on ids, sources and sizes only, so reruns agree; rows alike in those share their luck, and
-    which of them is taken makes no difference.
+    on ids, sources and sizes only, so reruns agree; rows alike in those are numbered to have luck of
+    their own, and which of them is taken makes no difference.
     """
     ready(docs.sparkSession)
     rows = docs.select(
@@ -203,7 +219,7 @@ def mix_sources(
         word_count(F.col(text_col)).alias("size"),
     )
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()))
-    keyed = rows.withColumn("key", F.xxhash64("doc_id", "source", "size"))
+    keyed = _told_apart(rows.withColumn("key", F.xxhash64("doc_id", "source", "size")), "row")
     return _mixed(keyed, weights, share, cap, seed).select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
@@ -234,7 +250,8 @@ def take_mixture(
         digests[1].alias("b"),
     )
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()))
-    mixed = _mixed(rows.withColumn("key", F.xxhash64("doc_id", "source", "size")), weights, share, cap, seed)
+    keyed = _told_apart(rows.withColumn("key", F.xxhash64("doc_id", "source", "size")), "a", "b", "row")
+    mixed = _mixed(keyed, weights, share, cap, seed)
     takes = stored(mixed.groupBy("a", "b").agg(F.sum("copies").alias("n"), F.count("*").alias("alike")).where("n > 0"))
 
     def taken(part: DataFrame) -> DataFrame:
