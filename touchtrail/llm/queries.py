@@ -14,6 +14,7 @@ from . import (
     exact_dedup,
     html_text,
     mixing,
+    packing,
     quality,
     simhash,
     substring_dedup,
@@ -100,6 +101,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), tokenizer, public_tokenizers.PATTERN)
 
 
+def op11_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document: where it lies, and the checksum of its ids."""
+    files = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken"))
+    found = packing.pack_documents(_documents(spark, sf_dir), *files, public_tokenizers.PATTERN)
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids", "row")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -112,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_simhash_components": op9_simhash_components,
         "op10_token_counts": op10_token_counts,
+        "op11_cost_packing": op11_cost_packing,
     }
 
 
