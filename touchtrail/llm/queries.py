@@ -13,6 +13,7 @@ from . import (
     byte_bpe,
     exact_dedup,
     html_text,
+    merkle_manifest,
     mixing,
     packing,
     quality,
@@ -108,6 +109,25 @@ def op11_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids", "row")
 
 
+TAMPER_EVERY = 7
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's leaf and its proof, against a copy in which some rows have one character more."""
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPER_EVERY == 0
+    change = {"n_chars": F.col("n_chars").cast("decimal(38,0)") + 1}
+    found = merkle_manifest.manifest(_documents(spark, sf_dir), changed, change)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -121,6 +141,7 @@ def queries() -> dict[str, Query]:
         "op9_simhash_components": op9_simhash_components,
         "op10_token_counts": op10_token_counts,
         "op11_cost_packing": op11_cost_packing,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 
@@ -195,6 +216,74 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+# A step of a path is the sibling's digest behind its side, or empty where the node is hashed alone.
+_AT = "(pos >> level)"
+_STEP = f"CASE WHEN {_AT} % 2 = 1 THEN 'L' || nodes[{_AT}] WHEN {_AT} + 1 < len(nodes) THEN 'R' || nodes[{_AT} + 2] ELSE '' END"
+_PAIRED = "list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], '')))"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    columns = ("doc_id", "source", "lang", n_chars, "text")
+    told = (f"coalesce(strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR, '-')" for c in columns)
+    return f"sha256({' || '.join(told)})"
+
+
+OP12 = f"""
+WITH RECURSIVE told AS (
+  SELECT doc_id, lang, {_leaf_sql('n_chars')} AS leaf,
+         CASE WHEN crc % {TAMPER_EVERY} = 0 THEN {_leaf_sql('n_chars::HUGEINT + 1')} ELSE {_leaf_sql('n_chars')} END AS other
+  FROM (
+    SELECT *, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, x: list_reduce(
+        list_prepend(xor(crc, x), range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+      )
+    ), 4294967295) AS crc
+    FROM documents
+  )
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM told
+), lower_levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, {_PAIRED} FROM lower_levels WHERE len(nodes) > 1
+), subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang IS NOT NULL, encode(lang)) - 1 AS pos
+  FROM lower_levels WHERE len(nodes) = 1
+), upper_levels AS (
+  SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, {_PAIRED} FROM upper_levels WHERE len(nodes) > 1
+), lower_paths AS (
+  SELECT d.doc_id, d.lang, d.pos, list({_STEP} ORDER BY level) FILTER (len(nodes) > 1) AS steps
+  FROM placed d JOIN lower_levels l ON d.lang IS NOT DISTINCT FROM l.lang
+  GROUP BY d.doc_id, d.lang, d.pos
+), upper_paths AS (
+  SELECT s.lang, list({_STEP} ORDER BY level) FILTER (len(nodes) > 1) AS steps
+  FROM subroots s, upper_levels GROUP BY s.lang
+), whole AS (
+  SELECT d.doc_id, d.leaf, d.other, s.subroot,
+         list_concat(coalesce(a.steps, []), coalesce(b.steps, [])) AS steps
+  FROM placed d
+  JOIN lower_paths a ON d.lang IS NOT DISTINCT FROM a.lang AND d.pos = a.pos
+  JOIN subroots s ON d.lang IS NOT DISTINCT FROM s.lang
+  JOIN upper_paths b ON d.lang IS NOT DISTINCT FROM b.lang
+), folded AS (
+  SELECT *, (SELECT nodes[1] FROM upper_levels WHERE len(nodes) = 1) AS root,
+         list_reduce(list_prepend(other, steps), lambda h, x: CASE x[1] WHEN 'L' THEN sha256(x[2:] || h) ELSE sha256(h || x[2:]) END) AS folded_root
+  FROM whole
+)
+SELECT doc_id, leaf, subroot, root,
+       sha256(list_reduce(list_prepend('', steps), lambda a, x: a || x[2:])) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_top_k": OP1, "op6_substring_dedup": OP6, "op7_warc_fixity": OP7, "op8_exact_dedup": OP8}
+    return {
+        "op1_exact_top_k": OP1,
+        "op6_substring_dedup": OP6,
+        "op7_warc_fixity": OP7,
+        "op8_exact_dedup": OP8,
+        "op12_merkle_manifest": OP12,
+    }
