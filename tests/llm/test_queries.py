@@ -30,5 +30,5 @@ def test_query_equals_its_sql(spark, name):
 def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
     assert set(queries.queries()) <= set(names)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import stored
 from . import (
     byte_bpe,
+    collocations,
     exact_dedup,
     html_text,
     merkle_manifest,
@@ -128,6 +129,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    return collocations.mine(_documents(spark, sf_dir)).drop("k")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -142,6 +148,7 @@ def queries() -> dict[str, Query]:
         "op10_token_counts": op10_token_counts,
         "op11_cost_packing": op11_cost_packing,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_collocations": op13_collocations,
     }
 
 
@@ -278,6 +285,41 @@ SELECT doc_id, leaf, subroot, root,
        folded_root, folded_root = root AS verified
 FROM folded
 """
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), counted AS (
+  SELECT lang, size, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS phrase, count(*) AS f
+  FROM split, unnest([1, 2, 3, 4]) AS s(size), unnest(range(1, len(ws) - size + 2)) AS t(i)
+  GROUP BY lang, size, phrase HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, sum(len(ws))::BIGINT AS n FROM split GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM counted WHERE size > 1
+), inner_parts AS (
+  SELECT lang, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS phrase, max(a) AS longer
+  FROM candidates, unnest([2, 3]) AS s(m), unnest(range(1, size - m + 2)) AS t(i)
+  WHERE m < size GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+  FROM candidates c, unnest(range(1, c.size)) AS t(k)
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(ws, 1, k), ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(ws, k + 1, c.size), ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), placed AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+         phrase, a, l, r, n, score::BIGINT AS score
+  FROM lowest JOIN totals USING (lang) LEFT JOIN inner_parts USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT
+)
+SELECT * FROM placed WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -286,4 +328,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc_fixity": OP7,
         "op8_exact_dedup": OP8,
         "op12_merkle_manifest": OP12,
+        "op13_collocations": OP13,
     }
