@@ -1,0 +1,136 @@
+"""Documents of any depth: no reader overflows, and every reason is defined."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import touchtrail as tt
+from touchtrail import operators as ops
+from touchtrail.functions import json_errors, json_scalar, payload
+
+
+def lists(depth):
+    return "[" * depth + "]" * depth
+
+
+def objects(depth):
+    return '{"a":' * depth + "1" + "}" * depth
+
+
+NONE = "Missing required JSON fields: {'campaign_code'}"
+BROKEN = "JSONDecodeError: malformed JSON"
+NOT_OBJECT = "not a JSON object"
+
+CASES = {
+    "deep member": ('{"campaign_code": "A", "x": %s}' % lists(100_000), None, "A"),
+    "deep objects": ('{"campaign_code": "A", "x": %s}' % objects(50_000), None, "A"),
+    "key behind": (' {"x": %s, "campaign_code": 12.50} ' % lists(1_900), None, "12.5"),
+    "true": ('{"x": %s, "campaign_code": true}' % lists(1_900), None, "true"),
+    "blank": ('{"x": %s, "campaign_code": ""}' % lists(1_900), None, ""),
+    "null": ('{"x": %s, "campaign_code" : null}' % lists(1_900), None, None),
+    "bracket in a string": ('{"x": %s, "campaign_code": "[1]"}' % lists(1_900), None, "[1]"),
+    "deep value": ('{"campaign_code": %s}' % lists(100_000), None, None),
+    "deep object as value": ('{"campaign_code": %s}' % objects(50_000), None, None),
+    "mixed value": ('{"campaign_code": [1, "a", {"b": %s}]}' % lists(300), None, None),
+    "list as value": ('{"campaign_code": ["a", 1], "x": %s}' % lists(300), None, None),
+    "deep without key": ('{"x": %s}' % lists(1_900), NONE, None),
+    "key inside only": ('{"x": {"campaign_code": "B", "y": %s}}' % lists(1_900), NONE, None),
+    "deep list": (lists(100_000), NOT_OBJECT, None),
+    "not a number": ('{"campaign_code": NaN, "x": %s}' % lists(1_900), None, None),
+    "open": ('{"campaign_code": "A", "x": %s' % lists(1_900), BROKEN, None),
+    "open list": ('{"campaign_code": "A", "x": %s}' % lists(1_900)[:-1], BROKEN, None),
+    "behind": ('{"campaign_code": "A", "x": %s} x' % lists(1_900), BROKEN, None),
+    "second value": ('{"campaign_code": "A", "x": %s}, {}' % lists(1_900), BROKEN, None),
+    "member behind": ('%s, "campaign_code": "A"' % lists(1_900), BROKEN, None),
+    "element breaks out": ("%s], [1" % lists(1_900), BROKEN, None),
+    "member breaks out": ('1}, {"x": %s' % lists(1_900), BROKEN, None),
+    "reader's own key": ('%s, "k": true}' % lists(1_900), BROKEN, None),
+    "trailing comma": ("%s," % lists(1_900), BROKEN, None),
+    "open string": ('{"campaign_code": "A", "x": %s, "y": "' % lists(1_900), BROKEN, None),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_documents_of_any_depth(spark, email_frame, case):
+    text, reason, code = CASES[case]
+    frame = email_frame([text])
+    assert [r._error_reason for r in ops.judge(frame).select("_error_reason").collect()] == [reason]
+    if case != "not a number":  # staging takes standard JSON only
+        assert [r.campaign_code for r in tt.stage_email(frame).select("campaign_code").collect()] == [code]
+
+
+@pytest.mark.parametrize("depth", [1, 198, 199, 200, 201, 600])
+def test_both_readers_agree_around_their_limit(spark, email_frame, depth):
+    texts = ['{"campaign_code": "A%s", "x": %s}' % ("b" * 200, lists(depth)), "[%s]" % lists(depth), '{"x": %s}' % lists(depth)]
+    found = [r._error_reason for r in ops.judge(email_frame(texts)).orderBy("event_id").collect()]
+    assert found == [None, NOT_OBJECT, NONE]
+
+
+def awkward(seed, n):
+    rng = random.Random(seed)
+    parts = ['"campaign_code"', ":", ",", "{", "}", "[", "]", "1", "null", "true", '"x"', " ", "-0.5e3", '"\\u00e9"', "NaN", '"', "01"]
+    texts = []
+    for _ in range(n):
+        if rng.random() < 0.5:
+            texts.append("".join(rng.choice(parts) for _ in range(rng.randint(1, 14))))
+            continue
+        whole = json.dumps({rng.choice(["campaign_code", "b"]): rng.choice([1, None, "q", [1, {"z": 2}], {"y": []}]), "c": [1, 2.5]})
+        at = rng.randrange(len(whole))
+        texts.append(whole if rng.random() < 0.4 else whole[:at] + rng.choice(parts) + whole[at + rng.randint(0, 2) :])
+    return texts
+
+
+def test_far_reader_equals_python(spark, monkeypatch):
+    """Every text read by the readers for deep documents."""
+    monkeypatch.setattr(payload, "NEAR_LEVELS", -1)
+    texts = sorted({t for t in awkward(11, 600) if t.strip()})
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    deep = payload.JsonDocument(F.col("t"), F.parse_json(F.lit(None).cast("string")), allow_non_finite=True)
+    rows = frame.select("t", deep.is_json.alias("json"), deep.is_object.alias("object"), deep.has_key("campaign_code").alias("key")).collect()
+    for row in rows:
+        try:
+            value = json.loads(row.t)
+        except ValueError:
+            assert not row.json, row.t
+            continue
+        assert row.json, row.t
+        assert row.object == isinstance(value, dict), row.t
+        if row.object:
+            assert row.key == ("campaign_code" in value), row.t
+
+
+def test_scalars_of_both_readers_are_alike(spark, monkeypatch):
+    texts = [t for t in awkward(12, 400) if "NaN" not in t]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    near = [r[0] for r in frame.select(json_scalar(F.col("t"), "campaign_code")).collect()]
+    monkeypatch.setattr(payload, "NEAR_LEVELS", -1)
+    deep = payload.JsonDocument(F.col("t"), F.parse_json(F.lit(None).cast("string")))
+    assert [r[0] for r in frame.select(deep.scalar("campaign_code")).collect()] == near
+    assert sum(c is not None for c in near) > 10
+
+
+def test_positions_equal_pythons():
+    for text in awkward(13, 5_000) + ["", " ", "[1,]", '{"a":1,}', '{"a" 1}', "{a", '"\x01"', '"\\x"', '"\\u12"', "[1 2]", "-", "1 2"]:
+        try:
+            json.loads(text)
+            want = None
+        except json.JSONDecodeError as error:
+            want = str(error)
+        assert json_errors.message(text) == want, text
+        try:
+            json_errors.scan(text)
+            found = None
+        except json.JSONDecodeError as error:
+            found = str(error)
+        assert found == want, text
+
+
+def test_positions_in_deep_documents(spark, email_frame):
+    judged = ops.quarantined(ops.judge(email_frame([lists(200_000) + "x", "[" * 200_000])))
+    found = [r._error_reason for r in ops.with_parser_messages(judged).orderBy("event_id").collect()]
+    assert found == [
+        "JSONDecodeError: Extra data: line 1 column 400001 (char 400000)",
+        "JSONDecodeError: Expecting value: line 1 column 200001 (char 200000)",
+    ]

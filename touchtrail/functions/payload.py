@@ -5,6 +5,10 @@ A document is therefore parsed once as the first element of a two-element array
 second element is the text's own 64-bit hash.  Finding the hash in second place proves
 that the text was exactly one JSON value: trailing text, a second value or an early
 closing bracket would move it or break the array.
+
+That parse, into a variant, calls itself for every level, so it is limited to ``NEAR_LEVELS``.  What it
+refuses is read a second time by readers that step over unknown fields without recursion, however
+deep they are: no document can overflow a stack.
 """
 
 from __future__ import annotations
@@ -15,13 +19,30 @@ from pyspark.sql import Column, functions as F
 
 from .keys import strip
 
-# A text up to this long cannot reach any limit of Spark's parser.
-_SURE_CHARS = 1_000
-_FAR_LIMITS = {"maxNestingDepth": "2000", "maxNumLen": "2147483647", "maxStringLen": "2147483647"}
+# A text up to this long cannot have more levels, nor reach any other limit of Spark's parser.
+NEAR_LEVELS = 200
+_FAR = "2147483647"
+_NEAR_LIMITS = {"maxNestingDepth": str(NEAR_LEVELS), "maxNumLen": _FAR, "maxStringLen": _FAR}
+_FAR_LIMITS = {**_NEAR_LIMITS, "maxNestingDepth": _FAR}
+# The parser takes keys of up to 50,000 characters; this limit cannot be set.
+_KEY_CHARS = 50_000
 # A run without quotes, escapes or control characters that ends a key.
 _LONG_KEY = r'"[^"\\\x00-\x1F]{1000,}+"(?=\s*:)'
 # Python's parser takes NaN and the infinities as numbers; standard JSON does not.
 _NON_FINITE = r"([\[:,]\s*)(?:NaN|-?Infinity)(?=\s*[,\]}])"
+_NULL = r":\s*null(?=\s*[,}])"
+_JSON_BLANKS = " \t\n\r"
+
+
+def _tame(text: Column, allow_non_finite: bool) -> Column:
+    """A JSON text of the same structure that the parser takes.
+
+    Inside a string literal the swaps change letters only, never the structure.
+    """
+    if allow_non_finite:
+        suspect = text.contains("NaN") | text.contains("Infinity")
+        text = F.when(suspect, F.regexp_replace(text, _NON_FINITE, "$1null")).otherwise(text)
+    return F.when(F.length(text) > _KEY_CHARS, F.regexp_replace(text, _LONG_KEY, '"_"')).otherwise(text)
 
 
 @dataclass(frozen=True)
@@ -30,59 +51,94 @@ class JsonDocument:
 
     text: Column
     envelope: Column
+    allow_non_finite: bool = False
 
     def bound(self, name: str) -> "JsonDocument":
         """The same document, read from the column the envelope was stored in."""
-        return JsonDocument(self.text, F.col(name))
+        return JsonDocument(self.text, F.col(name), self.allow_non_finite)
+
+    @property
+    def _refused(self) -> Column:
+        """TRUE when the text was refused and is long enough to have been so for its levels."""
+        return self.envelope.isNull() & (F.length(self.text) > NEAR_LEVELS)
+
+    def _wrapped(self, before: str, after: str) -> Column:
+        return _tame(F.concat(F.lit(before), self.text, F.lit(after)), self.allow_non_finite)
+
+    @property
+    def _one_value(self) -> Column:
+        """TRUE when a text of any depth is one JSON value.
+
+        It must fit both as an element of an array and as a member of an object.  A comma outside all
+        brackets breaks one of the two, as does a closing bracket, whichever it is.  The wrapped
+        text is a field that no reader asks for; ``k`` behind it is read only if it was sound.
+        """
+        element, member = self._wrapped('{"x":[', '],"k":true}'), self._wrapped('{"x":', ',"k":true}')
+        sound = [F.from_json(wrapped, "k boolean", _FAR_LIMITS)["k"] for wrapped in (element, member)]
+        return sound[0].eqNullSafe(F.lit(True)) & sound[1].eqNullSafe(F.lit(True))
 
     @property
     def is_json(self) -> Column:
         """TRUE when the whole text is one JSON value."""
         mark = F.try_variant_get(self.envelope, "$[1]", "bigint")
-        return F.coalesce(mark == F.xxhash64(self.text), F.lit(False))
+        near = F.coalesce(mark == F.xxhash64(self.text), F.lit(False))
+        return F.when(self._refused, self._one_value).otherwise(near)
 
     @property
     def is_object(self) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get(self.envelope, "$[0]", "variant"))
-        return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+        """TRUE when a JSON text is an object: a bracket then tells."""
+        return F.coalesce(self.is_json & F.ltrim(self.text, F.lit(_JSON_BLANKS)).startswith("{"), F.lit(False))
 
     def _field(self, key: str) -> str:
         if "'" in key:
             raise ValueError(f"JSON key must not contain a quote: {key}")
         return f"$[0]['{key}']"
 
+    def _far(self, key: str, kind: str, swap_null: bool = False) -> Column:
+        """The top-level field of a document of any depth as ``kind``; ``bad`` is set where it is of another kind."""
+        text = self._wrapped('{"x":', "}")
+        if swap_null:
+            text = F.regexp_replace(text, _NULL, ":0")
+        schema = f"x struct<`{key}` {kind}>, bad string"
+        return F.from_json(text, schema, {**_FAR_LIMITS, "columnNameOfCorruptRecord": "bad"})
+
     def has_key(self, key: str) -> Column:
-        """TRUE when the top-level object has the key, whatever its value (null included)."""
-        return F.try_variant_get(self.envelope, self._field(key), "variant").isNotNull()
+        """TRUE when the top-level object of a JSON text has the key, whatever its value (null included).
+
+        Of a refused text the field is read as an object without the fields it has: objects fit, any
+        other value is marked as bad, and only a missing one is neither.
+        """
+        near = F.try_variant_get(self.envelope, self._field(key), "variant").isNotNull()
+        probe = self._far(key, "struct<z boolean>", swap_null=True)
+        far = self.is_object & (probe["x"][key].isNotNull() | probe["bad"].isNotNull())
+        return F.when(self._refused, far).otherwise(near)
 
     def scalar(self, key: str) -> Column:
         """Text of a top-level scalar; NULL when absent, null, nested or not JSON."""
-        value = F.try_variant_get(self.envelope, self._field(key), "variant")
+        path = self._field(key)
+        value = F.try_variant_get(self.envelope, path, "variant")
         # Type names of objects and arrays list their content in angle brackets.
         nested = F.schema_of_variant(value).contains("<")
-        return F.when(
-            self.is_json & ~nested,
-            F.try_variant_get(self.envelope, self._field(key), "string"),
-        )
+        near = F.when(self.is_json & ~nested, F.try_variant_get(self.envelope, path, "string"))
+        # An object or array of moderate depth can be had as text too, one too deep for that cannot.
+        others = [self._far(key, kind)["x"][key] for kind in ("struct<z boolean>", "array<string>")]
+        single = self.is_object & others[0].isNull() & others[1].isNull()
+        return F.when(self._refused, F.when(single, self._far(key, "string")["x"][key])).otherwise(near)
 
 
 def parse_json_document(text: Column, allow_non_finite: bool = False) -> JsonDocument:
     """One parse of ``text``.  Store ``.envelope`` as a column, then use ``.bound(name)``.
 
-    By default Spark's parser refuses over 1,000 levels or digits and strings of 20 million characters.
-    What it refuses and is long enough for that is parsed again with far limits.  That on keys
-    (50,000 characters) cannot be set, so a long key is shortened first; nobody asks for it by name.
-    Levels stay limited to 2,000: the parser calls itself, and a stack that overflows ends a task's
-    whole executor.
+    By default Spark's parser refuses over 1,000 digits and strings of 20 million characters; a text
+    long enough for that is parsed with far limits.  That on keys (50,000 characters) cannot be set,
+    so a long key is shortened first; nobody asks for it by name.  Over ``NEAR_LEVELS`` levels the
+    envelope is NULL and the document's properties read the text anew, without recursion.
     """
     envelope = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
-    if allow_non_finite:
-        suspect = text.contains("NaN") | text.contains("Infinity")
-        # Inside a string literal the swap changes letters only, never the structure.
-        envelope = F.when(suspect, F.regexp_replace(envelope, _NON_FINITE, "$1null")).otherwise(envelope)
-    shortened = F.regexp_replace(envelope, _LONG_KEY, '"_"')
-    further = F.from_json(F.when(F.length(text) > _SURE_CHARS, shortened), "variant", _FAR_LIMITS)
-    return JsonDocument(text, F.coalesce(F.try_parse_json(envelope), further))
+    tame = _tame(envelope, allow_non_finite)
+    far = F.from_json(tame, "variant", _NEAR_LIMITS)
+    near = F.length(text) <= NEAR_LEVELS
+    return JsonDocument(text, F.when(near, F.try_parse_json(tame)).otherwise(far), allow_non_finite)
 
 
 def json_scalar(text: Column, key: str) -> Column:

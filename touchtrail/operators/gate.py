@@ -6,7 +6,6 @@ plan is narrow: no shuffle, one JSON parse per row, no Python in the row path.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -25,6 +24,7 @@ from ..constants import (
     REQUIRED_COLUMNS,
     REQUIRED_JSON_KEYS,
 )
+from ..functions.json_errors import message
 from ..functions.keys import is_blank
 from ..functions.once import with_values
 from ..functions.payload import parse_json_document
@@ -158,16 +158,6 @@ def quality_gate(
     return GateResult(validated(judged), quarantined(judged), gate_stats(judged, alert_pct))
 
 
-def _parser_message(text: str | None) -> str | None:
-    if text is None:
-        return None
-    try:
-        json.loads(text)
-    except json.JSONDecodeError as error:
-        return REASON_MALFORMED_PREFIX + str(error)
-    return REASON_MALFORMED
-
-
 def with_parser_messages(quarantine: DataFrame, json_col: str = "message_details") -> DataFrame:
     """Q3, optional: put the strict parser's own position text into malformed-JSON reasons.
 
@@ -176,7 +166,8 @@ def with_parser_messages(quarantine: DataFrame, json_col: str = "message_details
     malformed = F.col(REASON) == REASON_MALFORMED
 
     def messages(texts: pd.Series) -> pd.Series:
-        return texts.map(_parser_message)
+        told = (None if t is None else message(t) for t in texts)
+        return pd.Series([t and REASON_MALFORMED_PREFIX + t for t in told], dtype=object)
 
-    message = F.pandas_udf(messages, "string")(F.when(malformed, F.col(json_col)))
-    return quarantine.withColumn(REASON, F.coalesce(message, F.col(REASON)))
+    told = F.pandas_udf(messages, "string")(F.when(malformed, F.col(json_col)))
+    return quarantine.withColumn(REASON, F.coalesce(told, F.col(REASON)))
