@@ -14,7 +14,8 @@ from touchtrail.functions import wall_clock_from_text
 from touchtrail.operators import matching
 from touchtrail.plans import layers
 from touchtrail.session import scratch_path
-from touchtrail.sources import append_daily, drop_expired_partitions, replace_mart, replace_table
+from touchtrail.sources import append_daily, drop_expired_partitions, replace_dates, replace_table
+from touchtrail.sources.tables import STAGED_PARTITION
 from touchtrail.streaming import append_new_files
 
 from . import derived
@@ -154,11 +155,10 @@ def duplicate_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store the documented mart, then recompute a range of days under the other mode."""
-    staged = _staged(spark, sf_dir)
-    table = f"{_scratch_database(spark)}.fct_attribution"
-    replace_mart(tt.build_mart(*staged), table)
-    tt.backfill(table, *staged, BACKFILL_START, BACKFILL_END, mode="as_written")
-    return _stable(spark.table(table))
+    database = _staged_layers(spark, sf_dir)
+    tt.refresh_mart(spark, database, database)
+    tt.refresh_mart(spark, database, database, BACKFILL_START, BACKFILL_END, mode="as_written")
+    return _stable(spark.table(f"{database}.{layers.MART}"))
 
 
 def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,8 +218,8 @@ def raw_daily_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> str:
-    """All layers in a database of their own, whose name is returned."""
+def _staged_layers(spark: SparkSession, sf_dir: str) -> str:
+    """Raw and staging tables in a database of their own, whose name is returned."""
     events, database = _events(spark, sf_dir), _scratch_database(spark)
     replace_table(derived.email_logs(events), f"{database}.{layers.RAW_EMAIL}")
     replace_table(derived.whatsapp_logs(events), f"{database}.{layers.RAW_WHATSAPP}")
@@ -227,11 +227,26 @@ def _layers(spark: SparkSession, sf_dir: str) -> str:
     tt.refresh_crm(spark, database, database)
     tt.refresh_email(spark, database, database)
     tt.refresh_whatsapp(spark, database, database)
+    return database
+
+
+def _layers(spark: SparkSession, sf_dir: str) -> str:
+    """All layers in a database of their own, whose name is returned."""
+    database = _staged_layers(spark, sf_dir)
     tt.refresh_mart(spark, database, database)
     tt.refresh_gold(spark, database, database)
     return database
 
 
+def email_staged_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged e-mails of which a range of days was lost and refreshed, and the day each is stored under."""
+    database = _staged_layers(spark, sf_dir)
+    table = f"{database}.{layers.STG_EMAIL}"
+    replace_dates(spark.table(table).limit(0), table, BACKFILL_START, BACKFILL_END, STAGED_PARTITION)
+    tt.refresh_email(spark, database, database, start=BACKFILL_START, end=BACKFILL_END)
+    return _stable(spark.table(table))
+
+
 def mart_from_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw tables to staging tables and views to the stored mart."""
     return _stable(spark.table(f"{_layers(spark, sf_dir)}.{layers.MART}"))
@@ -301,6 +316,7 @@ def queries() -> dict[str, Query]:
         "events_enriched": events_enriched,
         "raw_daily_retained": raw_daily_retained,
         "mart_from_layers": mart_from_layers,
+        "email_staged_by_range": email_staged_by_range,
         "dim_campaigns_stored": dim_campaigns_stored,
         "agg_campaign_daily_stored": agg_campaign_daily_stored,
         "daily_stream_valid": daily_stream_valid,

@@ -1,0 +1,132 @@
+"""Staged events stored by local day: refreshed for a range, read by partition."""
+
+import datetime as dt
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+import touchtrail as tt
+from touchtrail.plans import layers
+from touchtrail.plans.mart import build_mart
+from touchtrail.sources.tables import STAGED_PARTITION, partition_dates, replace_days, replace_table
+
+from .conftest import EMAIL_SCHEMA
+
+FIRST, LAST = dt.date(2024, 1, 3), dt.date(2024, 1, 5)
+
+
+@pytest.fixture
+def database(spark):
+    name = f"days_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def store_raw(spark, database, mails, messages=()):
+    """(id, address or number, kind, time) each; e-mail times are UTC, three hours ahead of local ones."""
+    details = '{"campaign_code": "C"}'
+    rows = [(i, who, kind, when, details) for i, who, kind, when in mails]
+    raw = spark.createDataFrame(rows, EMAIL_SCHEMA).withColumn("arrived", F.substring("event_timestamp", 1, 10).try_cast("date"))
+    replace_days(raw, f"{database}.{layers.RAW_EMAIL}", "arrived")
+    schema = "message_id string, phone_clean bigint, sent_at_brt timestamp_ntz, status string, campaign_tag string"
+    texts = [(i, n, dt.datetime.fromisoformat(when), kind, "[WA] - W - x") for i, n, kind, when in messages]
+    replace_table(spark.createDataFrame(texts, schema), f"{database}.{layers.RAW_WHATSAPP}")
+
+
+def mails(*changed):
+    """One e-mail a day at 01:30 UTC, so on the evening before by local time."""
+    plain = {f"e{d}": (f"e{d}", "a@x.com", "open", f"2024-01-{d:02d} 01:30:00") for d in range(1, 11)}
+    return list((plain | {row[0]: row for row in changed}).values())
+
+
+def staged(spark, database):
+    rows = spark.table(f"{database}.{layers.STG_EMAIL}").orderBy("source_id")
+    return [(r.source_id, r.event_type, r.event_day) for r in rows.collect()]
+
+
+def test_events_are_stored_by_local_day(spark, database):
+    store_raw(spark, database, mails())
+    tt.refresh_email(spark, database, database)
+    table = f"{database}.{layers.STG_EMAIL}"
+    assert partition_dates(spark, table, STAGED_PARTITION) == [dt.date(2023, 12, 31)] + [dt.date(2024, 1, d) for d in range(1, 10)]
+    assert spark.table(table).where(F.col("event_day") != F.to_date("event_ts_brt")).count() == 0
+
+
+def test_a_range_is_refreshed_and_other_days_stay(spark, database):
+    store_raw(spark, database, mails())
+    tt.refresh_email(spark, database, database)
+    before = dict((i, (kind, day)) for i, kind, day in staged(spark, database))
+    changed = [(f"e{d}", "a@x.com", "click", f"2024-01-{d:02d} 01:30:00") for d in range(1, 11)]
+    moved = [("e5", "a@x.com", "click", "2024-01-09 12:00:00"), ("late", "a@x.com", "click", "2024-01-05 12:00:00")]
+    store_raw(spark, database, mails(*changed, *moved))
+    for _ in range(2):
+        tt.refresh_email(spark, database, database, start=FIRST, end=LAST)
+        found = dict((i, (kind, day)) for i, kind, day in staged(spark, database))
+        within = {"e4": ("click", FIRST), "e6": ("click", LAST), "late": ("click", LAST)}
+        assert found == {k: v for k, v in before.items() if k not in ("e4", "e5", "e6")} | within
+    days = partition_dates(spark, f"{database}.{layers.STG_EMAIL}", STAGED_PARTITION)
+    assert dt.date(2024, 1, 4) not in days and len(days) == 9
+
+
+def test_raw_days_may_be_narrowed(spark, database):
+    store_raw(spark, database, mails())
+    tt.refresh_email(spark, database, database)
+    all_rows = staged(spark, database)
+    held = F.col("arrived").between(F.lit(FIRST), F.lit(LAST + dt.timedelta(days=1)))
+    tt.refresh_email(spark, database, database, start=FIRST, end=LAST, held_in=held)
+    assert staged(spark, database) == all_rows
+
+
+def test_events_without_a_time_stay(spark, database):
+    store_raw(spark, database, mails(("bad", "a@x.com", "open", "soon")))
+    tt.refresh_email(spark, database, database, strict_time=False)
+    assert ("bad", "open", None) in staged(spark, database)
+    tt.refresh_email(spark, database, database, strict_time=False, start=FIRST, end=LAST)
+    assert ("bad", "open", None) in staged(spark, database) and len(staged(spark, database)) == 11
+
+
+def test_days_that_go_are_dropped_when_all_is_replaced(spark, database):
+    store_raw(spark, database, mails(("bad", "a@x.com", "open", "soon")))
+    tt.refresh_email(spark, database, database, strict_time=False)
+    store_raw(spark, database, mails()[:3])
+    tt.refresh_email(spark, database, database)
+    assert [i for i, _, _ in staged(spark, database)] == ["e1", "e2", "e3"]
+
+
+def test_a_table_of_another_layout_gives_way(spark, database):
+    store_raw(spark, database, mails())
+    table = f"{database}.{layers.STG_EMAIL}"
+    spark.range(3).write.saveAsTable(table)
+    tt.refresh_email(spark, database, database)
+    assert len(staged(spark, database)) == 10
+    assert [t.name for t in spark.catalog.listTables(database) if "__" in t.name] == []
+
+
+def test_a_table_without_days_must_be_refreshed_whole_first(spark, database):
+    store_raw(spark, database, mails())
+    spark.table(f"{database}.{layers.RAW_EMAIL}").limit(0).write.saveAsTable(f"{database}.{layers.STG_EMAIL}")
+    with pytest.raises(ValueError, match="as a whole"):
+        tt.refresh_email(spark, database, database, start=FIRST, end=LAST)
+    with pytest.raises(ValueError, match="both"):
+        tt.refresh_email(spark, database, database, start=FIRST)
+
+
+def test_a_backfill_reads_only_the_days_it_needs(spark, database):
+    store_raw(spark, database, mails(), [("w1", 5511987654321, "read", "2024-01-04 12:00:00")])
+    people = spark.createDataFrame(
+        [("u", "a@x.com", "+55 (11) 98765-4321", dt.datetime(2024, 1, 5, 12))],
+        "user_id string, email string, phone string, conversion_at timestamp",
+    )
+    replace_table(people, f"{database}.{layers.RAW_CRM}")
+    for refresh in (tt.refresh_crm, tt.refresh_email, tt.refresh_whatsapp):
+        refresh(spark, database, database)
+    mart = build_mart(*tt.staging_tables(spark, database), FIRST, LAST, days=2)
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    ranges = [p for p in re.findall(r"PartitionFilters: \[([^\]]*)\]", plan) if STAGED_PARTITION in p]
+    assert len(ranges) >= 2
+    for found in ranges:
+        assert re.search(rf"{STAGED_PARTITION}#\d+ >= 2024-01-01", found) and re.search(rf"{STAGED_PARTITION}#\d+ <= 2024-01-05", found)
+    assert [r.raw_log_id for r in mart.collect()] == ["e6"]

@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..constants import WINDOW_DAYS
 from ..operators.matching import interactions
-from ..sources.tables import replace_dates
+from ..sources.tables import STAGED_PARTITION, replace_dates
 from .attribution import Grain, Mode, attribute
 
 
 def _between(events: DataFrame, first: dt.date | None, last: dt.date | None) -> DataFrame:
-    """Events of a range of local days, as bounds on the stored time so that files are skipped."""
+    """Events of a range of local days: partitions of a table stored by day, else bounds on the stored
+    time so that files are skipped."""
+    if STAGED_PARTITION in events.columns:
+        day = F.col(STAGED_PARTITION)
+        if first is not None:
+            events = events.where(day >= F.lit(first))
+        return events.where(day <= F.lit(last)) if last is not None else events
     clock = F.col("event_ts_brt")
     if first is not None:
         events = events.where(clock >= F.lit(first).cast("timestamp_ntz"))

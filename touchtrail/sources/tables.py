@@ -13,6 +13,7 @@ from ..constants import RETENTION_DAYS
 
 MART_PARTITION = "conversion_date"
 MART_CLUSTERING = ("attributed_campaign", "attributed_channel")
+STAGED_PARTITION = "event_day"
 
 
 def _split(table: str) -> tuple[str, str]:
@@ -76,6 +77,17 @@ def append_daily(df: DataFrame, table: str, day: str = "ingest_date") -> None:
     df.write.format("parquet").partitionBy(day).mode("append").saveAsTable(table)
 
 
+def _by_day(df: DataFrame, column: str) -> DataFrame:
+    """Rows of a day together in few files: adaptive execution divides busy days and joins quiet ones."""
+    return df.hint("rebalance", column)
+
+
+def _days_seen(df: DataFrame, column: str, seen: Observation | None) -> DataFrame:
+    if seen is None:
+        return df
+    return df.observe(seen, F.collect_set(column).alias("days"), F.count_if(F.col(column).isNull()).alias("without"))
+
+
 def _laid_out(df: DataFrame, days_seen: Observation | None = None) -> DataFrame:
     """Range partitions by day and clustering columns, sorted inside.
 
@@ -83,9 +95,7 @@ def _laid_out(df: DataFrame, days_seen: Observation | None = None) -> DataFrame:
     task writes a whole day alone; each file still covers a narrow range of campaigns.
     """
     keys = [MART_PARTITION, *MART_CLUSTERING]
-    ranged = df.repartitionByRange(*keys, "user_id")
-    if days_seen is not None:
-        ranged = ranged.observe(days_seen, F.collect_set(MART_PARTITION).alias("days"))
+    ranged = _days_seen(df.repartitionByRange(*keys, "user_id"), MART_PARTITION, days_seen)
     return ranged.sortWithinPartitions(*keys)
 
 
@@ -141,24 +151,61 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def replace_dates(df: DataFrame, table: str, start: dt.date | None = None, end: dt.date | None = None) -> None:
+def is_partitioned_by(spark: SparkSession, table: str, column: str) -> bool:
+    """TRUE when the table exists and its rows are stored by ``column``."""
+    if not spark.catalog.tableExists(table):
+        return False
+    return any(c.name == column and c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def replace_dates(
+    df: DataFrame,
+    table: str,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    column: str = MART_PARTITION,
+) -> None:
     """Make the table's days in [start, end] hold exactly ``df`` (open ends: all days).
 
     Days with rows are overwritten by a dynamic partition write.  Days that lost all their
-    rows are not touched by that write, so they are dropped after it: the old mart stays
-    whole until the new rows are in place, and a rerun ends in the same state.
+    rows are not touched by that write, so they are dropped after it: the old rows stay
+    whole until the new ones are in place, and a rerun ends in the same state.
     """
-    spark, date = df.sparkSession, F.col(MART_PARTITION)
+    spark, date = df.sparkSession, F.col(column)
     if start is not None:
         df = df.where(date >= F.lit(start))
     if end is not None:
         df = df.where(date <= F.lit(end))
-    before = partition_dates(spark, table, start=start, end=end)
+    before = partition_dates(spark, table, column, start, end)
     seen = Observation()
+    rows = df.select(*spark.table(table).columns)
+    laid = _laid_out(rows, seen) if column == MART_PARTITION else _days_seen(_by_day(rows, column), column, seen)
     with _dynamic_overwrite(spark):
-        _laid_out(df.select(*spark.table(table).columns), seen).write.mode("overwrite").insertInto(table)
+        laid.write.mode("overwrite").insertInto(table)
     kept = set(seen.get["days"])
-    _drop_dates(spark, table, MART_PARTITION, [day for day in before if day not in kept])
+    _drop_dates(spark, table, column, [day for day in before if day not in kept])
+    if start is None and end is None and not seen.get["without"]:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}=NULL)")
+
+
+def replace_days(df: DataFrame, table: str, column: str) -> None:
+    """Replace all rows of a table stored by ``column``, day by day as `replace_dates` does.
+
+    A table of another layout steps aside under a backup name until the new one is listed; an interrupted
+    run is put right by the next (`recover_table`).
+    """
+    spark = df.sparkSession
+    recover_table(spark, table)
+    same = is_partitioned_by(spark, table, column) and set(spark.table(table).columns) == set(df.columns)
+    if same:
+        replace_dates(df, table, column=column)
+        return
+    prefix, name = _split(table)
+    backup = f"{prefix}{name}__old_{uuid.uuid4().hex}"
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
+    _by_day(df, column).write.format("parquet").partitionBy(column).saveAsTable(table)
+    spark.sql(f"DROP TABLE IF EXISTS {backup}")
 
 
 def drop_expired_partitions(
