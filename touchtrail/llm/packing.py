@@ -6,7 +6,6 @@ import heapq
 import json
 import math
 from collections.abc import Callable, Iterator
-from itertools import groupby
 from pathlib import Path
 
 import numpy as np
@@ -19,7 +18,7 @@ from tokenizers import Tokenizer
 from ..session import stored
 from .byte_bpe import encoding, pieces
 from .common import ready, text_or_empty
-from .token_counts import FIRST_DOUBTFUL
+from .token_counts import runs
 
 SEQUENCE_TOKENS = 2048
 END_ID = 1
@@ -29,10 +28,6 @@ ROWS_OUT_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 4096, 1
 
 _ID = "<u4"
-_DOUBTFUL = regex.compile(f"[{FIRST_DOUBTFUL}-\U0010ffff]")
-# Between a printable ASCII character and a space before another one, every splitter begins a match.
-_CUT = regex.compile(r"(?<=[!-~])(?= [!-~])")
-
 _PIECE = "doc_id bigint, row bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 _GROUP = f"pack bigint, {_PIECE}, place bigint, offset bigint"
 
@@ -55,15 +50,12 @@ class Encoder:
 
     def _plain(self, text: str) -> Iterator[list[int]]:
         """Ids of a text without special strings, in parts."""
-        if text.isascii() or not _DOUBTFUL.search(text):
-            for piece, whole in pieces(text):
+        for known, run in runs(text):
+            if not known:
+                yield self.library.encode(run, add_special_tokens=False).ids
+                continue
+            for piece, whole in pieces(run):
                 yield self.fast._encode_single_piece(piece) if whole else self.fast.encode_ordinary(piece)
-            return
-        for known, words in groupby(_CUT.split(text), lambda word: not _DOUBTFUL.search(word)):
-            if known:
-                yield from self._plain("".join(words))
-            else:
-                yield self.library.encode("".join(words), add_special_tokens=False).ids
 
     def ids(self, text: str, end_id: int | None = None) -> np.ndarray:
         """Ids of a whole text as unsigned 32-bit integers, and ``end_id`` behind them."""

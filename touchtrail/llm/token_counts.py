@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
+from itertools import groupby
 from pathlib import Path
 
 import pyarrow as pa
@@ -15,16 +17,62 @@ from tokenizers import Tokenizer
 from .common import ready, text_or_empty
 
 TOKEN_LIMIT = 512
-CACHED_WORDS = 500_000
-CACHED_PAIRS = 1_000_000
+CACHED_MATCHES = 400_000
+CACHED_PAIRS = 500_000
+CACHED_CHARS = 64
 
 # Below this code point, the splitter of the library and the pattern here know the same letters.
 FIRST_DOUBTFUL = "\u0558"
-_DOUBTFUL = regex.compile(f"[{FIRST_DOUBTFUL}-\U0010ffff]")
+_DOUBTFUL = re.compile(f"[{FIRST_DOUBTFUL}-\U0010ffff]")
+# Between a printable ASCII character and a space before another one, every splitter begins a match.
+_CUT = re.compile(r"(?<=[!-~])(?= [!-~])")
 _BLANK = regex.compile(r"\s")
-_BLANK_SPACE_BLANK = regex.compile(r"\s \s")
 _BLANKS_AT_END = regex.compile(r"\s+\Z")
 _CONTRACTIONS = ("'re", "'ve", "'ll")
+_CLASS = re.compile(r"\\p\{\w+\}|\\[sS]|\\.|\[\^?|\]|.", re.DOTALL)
+
+
+def runs(text: str) -> Iterator[tuple[bool, str]]:
+    """A text as runs of whole words with and without doubtful characters; each splits by itself."""
+    if text.isascii() or not _DOUBTFUL.search(text):
+        yield True, text
+        return
+    for known, words in groupby(_CUT.split(text), lambda word: not _DOUBTFUL.search(word)):
+        yield known, "".join(words)
+
+
+def _ranges(kind: str) -> str:
+    """The characters below the doubtful ones that ``kind`` matches, as the inside of a bracketed class."""
+    points = [p for p in range(ord(FIRST_DOUBTFUL)) if regex.match(kind, chr(p))]
+    out, k = [], 0
+    while k < len(points):
+        first = points[k]
+        while k + 1 < len(points) and points[k + 1] == points[k] + 1:
+            k += 1
+        out.append(rf"\u{first:04x}-\u{points[k]:04x}")
+        k += 1
+    return "".join(out)
+
+
+def known_splitter(pattern: str) -> Callable[[str], list[str]]:
+    """What ``pattern`` finds in a text without doubtful characters.
+
+    Classes are spelled out, so that the standard module can be used, which is twice as fast here.
+    """
+    out, inside = [], False
+    for part in _CLASS.findall(pattern):
+        if part.startswith("["):
+            inside = True
+        elif part == "]":
+            inside = False
+        elif part.startswith("\\p") or part == r"\s":
+            part = _ranges(part) if inside else f"[{_ranges(part)}]"
+        elif part == r"\S":
+            if inside:
+                return regex.compile(pattern).findall
+            part = f"[^{_ranges(r'\s')}]"
+        out.append(part)
+    return re.compile("".join(out)).findall
 
 
 def _alphabet() -> list[str]:
@@ -42,82 +90,93 @@ def shown(text: str) -> str:
     return text.encode("utf-8", "replace").decode("latin-1").translate(_SHOWN)
 
 
+class Aged(dict):
+    """A bounded cache: what was asked for since the last but one time it was full is there."""
+
+    def __init__(self, make: Callable, half: int) -> None:
+        self.make, self.half = make, half
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= CACHED_CHARS:
+            if len(self) >= self.half:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class PrefixCounter:
     """Counts tokens of prefixes by the tokenizer in ``definition`` (the text of its .json file).
 
     The tokens of a prefix are those of a shorter prefix and one more; which one is settled by the
     two last tokens alone: they must stay apart when merged by themselves.  So a table holds, for
     every prefix of a match of the splitter, its last token and its count, and each place tries
-    the few tokens that end there.  Matches do not affect each other, and words come again, so
-    tables are kept for a bounded number of words.
+    the few tokens that end there, found in a trie of reversed tokens.  Matches do not affect each
+    other and come again, so the counts at their ends are kept for a bounded number of them.
     """
 
     def __init__(self, definition: str, pattern: str) -> None:
         self.library = Tokenizer.from_str(definition)
         told = json.loads(definition)
         self.special = [t["content"] for t in told["added_tokens"]]
-        self.vocabulary = frozenset(told["model"]["vocab"])
-        self.longest = max(map(len, self.vocabulary))
         self.split = regex.compile(pattern)
-        self.parts = regex.compile("|".join(f"({regex.escape(s)})" for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        self.words: dict[str, int] = {}
-        self.apart: dict[tuple[str, str], bool] = {}
-
-    def stay_apart(self, left: str, right: str) -> bool:
-        known = self.apart.get((left, right))
-        if known is None:
-            if len(self.apart) >= CACHED_PAIRS:
-                self.apart.clear()
-            merged = self.library.model.tokenize(left + right)
-            known = self.apart[left, right] = len(merged) == 2 and merged[0].value == left
-        return known
+        self.split_known = known_splitter(pattern)
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.parts = regex.compile("|".join(f"({regex.escape(s)})" for s in longest_first) or r"(?!)")
+        self.ending: dict = {}  # a node holds the nodes one character further to the left, and at "" its token
+        for token in told["model"]["vocab"]:
+            node = self.ending
+            for char in reversed(token):
+                node = node.setdefault(char, {})
+            node[""] = token
+        # Keys of the first are matches as they stand in texts, of the second those in the shown alphabet.
+        self.counts = Aged(lambda match: self.table(shown(match))[-1], CACHED_MATCHES)
+        self.counts_of_shown = Aged(lambda match: self.table(match)[-1], CACHED_MATCHES // 4)
+        self.apart = Aged(self._stay_apart, CACHED_PAIRS)
+
+    def _stay_apart(self, pair: tuple[str, str]) -> bool:
+        merged = self.library.model.tokenize(pair[0] + pair[1])
+        return len(merged) == 2 and merged[0].value == pair[0]
 
     def table(self, match: str) -> list[int]:
         """Count of tokens of each prefix of one match, given and counted in the shown alphabet."""
         counts, last = [0], [""]
-        longest = self.longest
-        is_token, apart = self.vocabulary.__contains__, self.apart.get
-        for upto in range(1, len(match) + 1):
-            for start in range(upto - 1, max(-1, upto - 1 - longest), -1):
-                token = match[start:upto]
-                if not is_token(token):
-                    continue
-                if not start:
-                    break
-                fits = apart((last[start], token))
-                if fits or fits is None and self.stay_apart(last[start], token):
+        ending, apart = self.ending, self.apart
+        for upto in range(len(match)):
+            node, start = ending, upto
+            while True:
+                node = node[match[start]]
+                token = node.get("")
+                if token is not None and (not start or apart[last[start], token]):
                     break
+                start -= 1
             counts.append(counts[start] + 1)
             last.append(token)
         return counts
 
     def matches(self, text: str) -> list[str]:
         """What the splitter makes of a text without special tokens, in the shown alphabet."""
-        if not text.isascii() and _DOUBTFUL.search(text):
-            return [piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
-        return [shown(piece) for piece in self.split.findall(text)]
-
-    def _word(self, word: str) -> int:
-        if len(self.words) >= CACHED_WORDS:
-            self.words.clear()
-        count = sum(self.table(m)[-1] for m in self.matches(word))
-        if len(word) <= 64:
-            self.words[word] = count
-        return count
+        out: list[str] = []
+        for known, run in runs(text):
+            if known:
+                out += map(shown, self.split_known(run))
+            else:
+                out += (piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(run))
+        return out
 
     def _plain(self, text: str) -> int:
-        """Tokens of a text without special tokens.  A match begins at every space after a word."""
-        if not text:
-            return 0
-        if _BLANK_SPACE_BLANK.search(text):
-            return sum(self.table(m)[-1] for m in self.matches(text))
-        first, *rest = text.split(" ")
-        known = self.words.get
-        total = self._word(first) if first else 0
-        for word in rest:
-            word = " " + word
-            count = known(word)
-            total += self._word(word) if count is None else count
+        """Tokens of a text without special tokens."""
+        total = 0
+        for known, run in runs(text):
+            if known:
+                total += sum(map(self.counts.__getitem__, self.split_known(run)))
+            else:
+                pieces = self.library.pre_tokenizer.pre_tokenize_str(run)
+                total += sum(self.counts_of_shown[piece] for piece, _ in pieces)
         return total
 
     def count(self, text: str) -> int:
@@ -248,16 +307,19 @@ def count_tokens(
 def truncate_texts(
     docs: DataFrame, path: str, pattern: str, budget: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(doc_id, kept)``: the longest prefix of every text that needs at most ``budget`` tokens."""
+    """``(doc_id, kept)``: the longest prefix of every text that needs at most ``budget`` tokens.
+
+    Bytes that are not UTF-8 count as the replacement character, as in `count_tokens`.
+    """
     ready(docs.sparkSession)
     definition = docs.sparkSession.sparkContext.broadcast(Path(path).read_text())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longest = counter(definition.value, pattern).longest_prefix
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(1)]
+            texts = [t.as_py().decode("utf-8", "replace") for t in batch.column(1)]
             kept = [t[: longest(t, budget)] for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string())], names=["doc_id", "kept"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("t"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("t"))
     return rows.mapInArrow(run, "doc_id bigint, kept string")
