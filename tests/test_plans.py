@@ -59,6 +59,9 @@ STORED = (
     "raw_daily_retained",
     "mart_from_layers",
     "email_staged_by_range",
+    "mart_kept_up",
+    "dim_campaigns_kept_up",
+    "agg_campaign_daily_kept_up",
     "daily_stream_valid",
 )
 NATIVE = [n for n in registry.queries() if n not in STORED]

@@ -3,6 +3,7 @@
 from .plans import (
     IngestReport,
     attribute,
+    attribute_touches,
     attribution_distribution,
     backfill,
     build_mart,
@@ -18,13 +19,16 @@ from .plans import (
     refresh_email,
     refresh_gold,
     refresh_mart,
+    refresh_touches,
     refresh_whatsapp,
     stage_crm,
     stage_email,
     stage_whatsapp,
     staging_tables,
+    touches_by_day,
     unattributed_converters,
     unified_interactions,
+    update_mart,
     valid_only,
     validate_mart,
 )
@@ -34,6 +38,7 @@ from .session import configure
 __all__ = [
     "IngestReport",
     "attribute",
+    "attribute_touches",
     "attribution_distribution",
     "backfill",
     "build_mart",
@@ -51,13 +56,16 @@ __all__ = [
     "refresh_email",
     "refresh_gold",
     "refresh_mart",
+    "refresh_touches",
     "refresh_whatsapp",
     "stage_crm",
     "stage_email",
     "stage_whatsapp",
     "staging_tables",
+    "touches_by_day",
     "unattributed_converters",
     "unified_interactions",
+    "update_mart",
     "valid_only",
     "validate_mart",
 ]

@@ -93,6 +93,22 @@ def _touches(events: DataFrame, owners: DataFrame, days: int) -> DataFrame:
     return interactions_by_day(strongest, owners, size, days, split=widely_shared(owners, size, days))
 
 
+def _stored_touches(touches: DataFrame, owners: DataFrame, days: int) -> DataFrame:
+    """The same from a stored summary.  It comes straight from its scan, so the join can divide any key."""
+    size = broadcast_size(owners)
+    return interactions_by_day(owned_events(touches, owners, size), owners, size, days)
+
+
+def touches_by_day(email: DataFrame, whatsapp: DataFrame) -> DataFrame:
+    """The strongest event per channel, identity and day, whoever owns the identity.
+
+    All that attribution needs to know of a day, in either mode: an event of unknown weight is the
+    strongest only where there is no other.  Days do not affect each other, so the summary is kept
+    up by replacing the days whose events changed.
+    """
+    return day_touches(interactions(email, whatsapp))
+
+
 def premium_users(
     email: DataFrame, whatsapp: DataFrame, crm: DataFrame, days: int = WINDOW_DAYS
 ) -> DataFrame:
@@ -149,13 +165,30 @@ def attribute(
     Events are reduced to one per identity and day before they are joined.  A user then
     brings at most two channels x (days + 1) rows into the final window.
     """
+    _check(mode)
+    events, owners = interactions(email, whatsapp), identities(crm)
+    if mode == "documented":
+        events = known_weights_only(events)
+    return _attributed(_touches(events, owners, days), mode, grain)
+
+
+def attribute_touches(
+    touches: DataFrame, crm: DataFrame, mode: Mode = "documented", days: int = WINDOW_DAYS, grain: Grain = "user"
+) -> DataFrame:
+    """P8 from a summary by day (`touches_by_day`): the same rows as `attribute` over its events."""
+    _check(mode)
+    if mode == "documented":
+        touches = known_weights_only(touches)
+    return _attributed(_stored_touches(touches, identities(crm), days), mode, grain)
+
+
+def _check(mode: str) -> None:
     if mode not in ("documented", "as_written"):
         raise ValueError(f"unknown mode: {mode!r}")
-    events, owners, group = interactions(email, whatsapp), identities(crm), _group(grain)
-    if mode == "documented":
-        winners = _winners_documented(_touches(known_weights_only(events), owners, days), group)
-    else:
-        winners = _winners_as_written(_touches(events, owners, days), group)
+
+
+def _attributed(touches: DataFrame, mode: Mode, grain: Grain) -> DataFrame:
+    winners = (_winners_documented if mode == "documented" else _winners_as_written)(touches, _group(grain))
     return winners.select(
         surrogate_key("user_id", "conversion_date", "raw_log_id").alias("attribution_id"),
         "user_id",

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..constants import WINDOW_DAYS
 from ..operators.matching import interactions
 from ..sources.tables import STAGED_PARTITION, replace_dates
-from .attribution import Grain, Mode, attribute
+from .attribution import Grain, Mode, attribute, attribute_touches
 
 
-def _between(events: DataFrame, first: dt.date | None, last: dt.date | None) -> DataFrame:
+def between(events: DataFrame, first: dt.date | None, last: dt.date | None) -> DataFrame:
     """Events of a range of local days: partitions of a table stored by day, else bounds on the stored
     time so that files are skipped."""
     if STAGED_PARTITION in events.columns:
@@ -48,7 +48,7 @@ def build_mart(
         crm = crm.where(F.col("conversion_date") <= F.lit(end))
     first = start - dt.timedelta(days=days) if start is not None else None
     return attribute(
-        _between(email, first, end), _between(whatsapp, first, end), crm, mode, days, grain
+        between(email, first, end), between(whatsapp, first, end), crm, mode, days, grain
     )
 
 
@@ -68,6 +68,27 @@ def backfill(
     replace_dates(rows, table, start, end)
 
 
+def backfill_touches(
+    table: str,
+    touches: DataFrame,
+    crm: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    mode: Mode = "documented",
+    days: int = WINDOW_DAYS,
+    grain: Grain = "user",
+) -> None:
+    """Recompute the conversions that events of [start, end] can change, from touches by day.
+
+    Those are conversions from ``start`` up to a window behind ``end``; other days are not touched.
+    """
+    last = end + dt.timedelta(days=days)
+    day, converted = F.col("interaction_date"), F.col("conversion_date")
+    near = touches.where(day.between(F.lit(start - dt.timedelta(days=days)), F.lit(last)))
+    people = crm.where(converted.between(F.lit(start), F.lit(last)))
+    replace_dates(attribute_touches(near, people, mode, days, grain), table, start, last)
+
+
 def duplicate_users(rows: DataFrame) -> DataFrame:
     """A2: user ids found more than once; empty for a sound mart or user base."""
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
@@ -104,14 +125,22 @@ def campaign_daily(mart: DataFrame) -> DataFrame:
     )
 
 
+def campaign_days(email: DataFrame, whatsapp: DataFrame) -> DataFrame:
+    """A6 by day: events of each campaign and channel a day, the state `campaign_dimension` is merged from."""
+    return interactions(email, whatsapp).groupBy("interaction_date", "campaign_code", "channel").agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
+def campaigns_of(rows: DataFrame) -> DataFrame:
+    """One row per campaign from events or states by day, with its first and last day and its channels."""
+    return rows.groupBy("campaign_code").agg(
+        F.min("interaction_date").alias("first_interaction_date"),
+        F.max("interaction_date").alias("last_interaction_date"),
+        F.concat_ws(",", F.array_sort(F.collect_set("channel"))).alias("channels"),
+    )
+
+
 def campaign_dimension(email: DataFrame, whatsapp: DataFrame) -> DataFrame:
     """One row per campaign with its first and last day and the channels it used."""
-    return (
-        interactions(email, whatsapp)
-        .groupBy("campaign_code")
-        .agg(
-            F.min("interaction_date").alias("first_interaction_date"),
-            F.max("interaction_date").alias("last_interaction_date"),
-            F.concat_ws(",", F.array_sort(F.collect_set("channel"))).alias("channels"),
-        )
-    )
+    return campaigns_of(interactions(email, whatsapp))

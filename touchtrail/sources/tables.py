@@ -179,7 +179,8 @@ def replace_dates(
     before = partition_dates(spark, table, column, start, end)
     seen = Observation()
     rows = df.select(*spark.table(table).columns)
-    laid = _laid_out(rows, seen) if column == MART_PARTITION else _days_seen(_by_day(rows, column), column, seen)
+    clustered = {MART_PARTITION, *MART_CLUSTERING, "user_id"} <= set(rows.columns)
+    laid = _laid_out(rows, seen) if clustered else _days_seen(_by_day(rows, column), column, seen)
     with _dynamic_overwrite(spark):
         laid.write.mode("overwrite").insertInto(table)
     kept = set(seen.get["days"])
