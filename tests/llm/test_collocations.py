@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,10 +72,35 @@ def test_states_with_the_same_continuations_are_one():
     assert len(made.states) == 4
 
 
-def test_sums_of_automata():
+def tree_of(weighed, longest=4):
+    words = sorted({w for p in weighed for w in p})
+    rows = [[words.index(w) for w in p] + [-1] * (longest - len(p)) for p in sorted(weighed)]
+    return C.Tree(words, np.array(rows), np.array([weighed[p] for p in sorted(weighed)]))
+
+
+def closed(weighed):
+    """With every beginning of every phrase."""
+    return weighed | {p[:k]: 1 for p in weighed for k in range(len(p)) if p[:k] not in weighed}
+
+
+def test_sums_of_trees():
     one, two = ({(b"a",): 2, (b"a", b"b"): 1, (): 5}, {(b"a",): 3, (b"c",): 1, (): 2})
-    made = C.union((C.Automaton.built(sorted(x.items())) for x in (one, two)), least=2)
-    assert list(made.phrases()) == [((), 7), ((b"a",), 5)]
+    made = C.summed([tree_of(one), tree_of(two)], least=2)
+    assert [(made.phrase(k), made.weights[k]) for k in range(len(made.rows))] == [((), 7), ((b"a",), 5)]
+
+
+def test_trees_cut_anywhere_sum_to_the_whole():
+    rng = random.Random(4)
+    words = [b"a", b"b", b"ab", b"\x01", b"z"]
+    for size in (1, 2, 3, 7):
+        weighed = Counter(tuple(rng.choice(words) for _ in range(rng.randint(0, 4))) for _ in range(60))
+        tree = tree_of(closed(weighed))
+        parts = [C.Tree.loaded(tree.dumped(k, min(k + size, len(tree.rows)))) for k in range(0, len(tree.rows), size)]
+        made = C.summed(parts)
+        assert {made.phrase(k): made.weights[k] for k in range(len(made.rows))} == closed(weighed)
+        low, high = ("g", (b"ab",)), ("g", (b"b", b"a"))
+        found = list(C._within(made, "g", low, high).phrases())
+        assert found == sorted((p, n) for p, n in closed(weighed).items() if low[1] <= p < high[1])
 
 
 @pytest.mark.parametrize("text", ["", " \t ", "One two.THREE four", "a,,b  c\td\n\ne", "é ß " * 5 + "x" * 50])
@@ -83,7 +109,7 @@ def test_words_and_pieces(monkeypatch, text):
     data = text.encode().translate(C._PLAIN)
     words = C.Words(data, 1)
     pieces = [re.findall(r"[^ \t]+", p) for p in re.split(r"[.,;:!?\n\x0b\x0c\r]", text.translate(LOWER))]
-    assert [words.phrase(k, 1)[0].decode() for k in range(len(words.hashes))] == [w for p in pieces for w in p]
+    assert [words.phrase(k, 1).decode() for k in range(len(words.hashes))] == [w for p in pieces for w in p]
     assert words.piece.tolist() == [k for k, p in enumerate(pieces) for _ in p]
     by_word = {words.phrase(k, 1): h for k, h in enumerate(words.hashes.tolist())}
     assert len(set(by_word.values())) == len(by_word)

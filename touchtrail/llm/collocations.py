@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import bisect
-import heapq
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from itertools import groupby
 from operator import itemgetter
 
 import numpy as np
@@ -25,7 +23,7 @@ TOP = 2000
 
 BYTES_PER_PAGE = 1 << 22
 MAX_PAGES = 1 << 20
-SLICE_BYTES = 1 << 23
+SLICE_BYTES = 1 << 22
 HASHES_HELD = 1 << 22
 BITS_PER_HASH = 16
 MAX_FILTER_BITS = 1 << 28
@@ -108,8 +106,9 @@ class Words:
         """Whether a word and the next one lie in the same piece."""
         return self.piece[:-1] == self.piece[1:]
 
-    def phrase(self, at: int, n: int) -> tuple[bytes, ...]:
-        return tuple(self.data[self.starts[at + j] : self.ends[at + j]] for j in range(n))
+    def phrase(self, at: int, n: int) -> bytes:
+        """``n`` words with one space between them."""
+        return b" ".join(self.data[self.starts[at] : self.ends[at + n - 1]].split())
 
 
 def _words_by_group(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
@@ -140,11 +139,23 @@ def _words_by_group(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, Wo
                 held, size = [], 0
 
 
-# A filter of the hashes of words and pairs that occur often enough.  A phrase that does is made of such.
+# A filter of the hashes of phrases that occur often enough, longer ones counted where all pairs in them do.
 
 
-def _page_counts(pages: int) -> Callable:
-    """Hashes of words and pairs with their counts, packed for pages by their top bits."""
+def _of_frequent_pairs(pairs: np.ndarray, n: int) -> np.ndarray:
+    """Where ``n`` words in a row hold frequent pairs only."""
+    k = max(0, len(pairs) - n + 2)
+    fits = pairs[:k].copy()
+    for j in range(1, n - 1):
+        fits &= pairs[j : j + k]
+    return fits
+
+
+def _page_counts(pages: int, longest: int, made) -> Callable:
+    """Hashes with their counts, packed for pages by their top bits.
+
+    Those of words and pairs, or with a filter of these those of longer phrases.
+    """
     shift = _U(64 - (pages.bit_length() - 1))
 
     def flush(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +174,14 @@ def _page_counts(pages: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for _, words in _words_by_group(batches):
-            held += [words.hashes, words.grams(2)[words.together()]]
-            n += 2 * len(words.hashes)
+            pairs = words.together()
+            if made is None:
+                found = [words.hashes, words.grams(2)[pairs]]
+            else:
+                pairs &= _passes(made.value, words.grams(2))
+                found = [words.grams(m)[_of_frequent_pairs(pairs, m)] for m in range(3, longest + 1)]
+            held += found
+            n += sum(map(len, found))
             if n >= HASHES_HELD:
                 yield from flush(held)
                 held, n = [], 0
@@ -214,25 +231,35 @@ def _either(table: pa.Table) -> pa.Table:
     return pa.table({"segment": table.column("segment")[:1], "bits": pa.array([joined.tobytes()], pa.binary())})
 
 
-def often_filter(texts: DataFrame, least: int, max_bits: int = MAX_FILTER_BITS):
-    """A Bloom filter of the words and pairs that occur ``least`` times or more in ``texts(grp, text)``.
+def _filter_of(hashes: DataFrame, max_bits: int):
+    """A broadcast Bloom filter of ``hashes`` with ``BITS_PER_HASH`` bits for each and never more than ``max_bits``."""
+    bits = min(max_bits, _power_of_two(BITS_PER_HASH * hashes.count() or 1))
+    parts = hashes.mapInArrow(_filter_parts(bits), "segment bigint, bits binary").groupBy("segment")
+    made = np.zeros(bits // 8, np.uint8)
+    width = min(bits, _SEGMENT_BITS) // 8
+    for segment, part in parts.applyInArrow(_either, "segment bigint, bits binary").collect():
+        made[segment * width : (segment + 1) * width] = np.frombuffer(part, np.uint8)
+    return hashes.sparkSession.sparkContext.broadcast(made.tobytes())
+
+
+def often_filter(texts: DataFrame, least: int, longest: int, max_bits: int = MAX_FILTER_BITS):
+    """A Bloom filter of the phrases that occur ``least`` times or more in ``texts(grp, text)``.
 
     Tasks count hashes and deal them, packed, to pages by their top bits; a page adds up and keeps what is
-    frequent.  The filter has ``BITS_PER_HASH`` bits for each of these and never more than ``max_bits`` (32 MB).
-    Beyond that it lets more pass than need be, and nothing frequent is missed.
+    frequent.  Words and pairs come first; of longer phrases only those are counted that hold nothing
+    but frequent pairs.  The filter never has more than ``max_bits`` (32 MB).  Beyond that it lets more
+    pass than need be, and nothing frequent is missed.
     """
-    spark = texts.sparkSession
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     pages = min(MAX_PAGES, 1 << max(0, int(n_bytes // BYTES_PER_PAGE).bit_length()))
-    packed = texts.mapInArrow(_page_counts(pages), "page bigint, hashes binary, counts binary")
-    often = stored(packed.groupBy("page").applyInArrow(_often(least), "hash bigint"))
-    bits = min(max_bits, _power_of_two(BITS_PER_HASH * often.count() or 1))
-    parts = often.mapInArrow(_filter_parts(bits), "segment bigint, bits binary").groupBy("segment")
-    made = np.zeros(bits // 8, np.uint8)
-    width = min(bits, _SEGMENT_BITS) // 8
-    for segment, part in parts.applyInArrow(_either, "segment bigint, bits binary").collect():
-        made[segment * width : (segment + 1) * width] = np.frombuffer(part, np.uint8)
-    return spark.sparkContext.broadcast(made.tobytes())
+
+    def often(made) -> DataFrame:
+        packed = texts.mapInArrow(_page_counts(pages, longest, made), "page bigint, hashes binary, counts binary")
+        return stored(packed.groupBy("page").applyInArrow(_often(least), "hash bigint"))
+
+    short = often(None)
+    made = _filter_of(short, max_bits)
+    return _filter_of(short.union(often(made)), max_bits) if longest > 2 else made
 
 
 def _passes(made: bytes, hashes: np.ndarray) -> np.ndarray:
@@ -330,16 +357,6 @@ class Automaton:
         return cls(states, root)
 
 
-def union(automata: Iterable[Automaton], least: int = 1) -> Automaton:
-    """The sum of automata: walked side by side in order, equal phrases adding their weights.
-
-    Phrases of less than ``least`` go, but for the empty one, whose weight is the number of all words.
-    """
-    merged = heapq.merge(*(a.phrases() for a in automata))
-    summed = ((phrase, sum(w for _, w in same)) for phrase, same in groupby(merged, key=itemgetter(0)))
-    return Automaton.built((phrase, w) for phrase, w in summed if w >= least or not phrase)
-
-
 def _joined(phrase: tuple[bytes, ...]) -> bytes:
     return b" ".join(phrase)
 
@@ -348,56 +365,153 @@ def _words_of(joined: bytes) -> tuple[bytes, ...]:
     return tuple(joined.split(b" ")) if joined else ()
 
 
-# Shards: what a task has seen, in chunks of sorted phrases, an automaton each.
+# Shards: what a task has seen, as trees of sorted phrases.  A tree is an automaton that shares beginnings only;
+# made of arrays, it costs little for the many phrases that turn out rare.
+
+
+class Tree:
+    """Sorted phrases with weights: a row of word numbers for each, filled up with -1, and the words in order.
+
+    Sorted rows are the states of the tree, each behind the one it continues.  Where a slice of them is cut
+    out, states that its first row continues come along with weight 0.
+    """
 
-_CHUNK = "grp string, first binary, last binary, automaton binary"
+    def __init__(self, words: list[bytes], rows: np.ndarray, weights: np.ndarray) -> None:
+        self.words, self.rows, self.weights = words, rows, weights
+
+    def phrase(self, k: int) -> tuple[bytes, ...]:
+        return tuple(self.words[w] for w in self.rows[k].tolist() if w >= 0)
+
+    def dumped(self, low: int, high: int) -> bytes:
+        """Some rows: for each state its depth, the word that leads to it and its weight, and the words."""
+        rows, weights = self.rows[low:high], self.weights[low:high]
+        above = int((rows[0] >= 0).sum()) - 1
+        if above > 0:
+            path = np.full((above, rows.shape[1]), -1, rows.dtype)
+            for k in range(above):
+                path[k, : k + 1] = rows[0, : k + 1]
+            rows, weights = np.concatenate([path, rows]), np.concatenate([np.zeros(above, np.int64), weights])
+        depth = (rows >= 0).sum(1)
+        label = np.where(depth > 0, rows[np.arange(len(rows)), np.maximum(depth, 1) - 1], -1)
+        used, index = np.unique(label, return_inverse=True)
+        told = b"\n".join(self.words[w] if w >= 0 else b"" for w in used.tolist())
+        head = np.array([len(rows), rows.shape[1], len(told)], "<i8").tobytes()
+        parts = (depth.astype("u1"), index.astype("<i4"), weights.astype("<i8"))
+        return zlib.compress(head + told + b"".join(x.tobytes() for x in parts), 1)
 
+    @classmethod
+    def loaded(cls, data: bytes) -> Tree:
+        data = zlib.decompress(data)
+        n, width, size = np.frombuffer(data, "<i8", 3).tolist()
+        at = 24 + size
+        words = data[24:at].split(b"\n")
+        depth = np.frombuffer(data, "u1", n, at)
+        index = np.frombuffer(data, "<i4", n, at + n)
+        weights = np.frombuffer(data, "<i8", n, at + 5 * n)
+        rows = np.full((n, width), -1, np.int64)
+        places = np.arange(n)
+        for d in range(width):
+            last = np.maximum.accumulate(np.where(depth == d + 1, places, -1))
+            inside = depth > d
+            rows[inside, d] = index[last[inside]]
+        return cls(words, rows, weights)
+
+
+def summed(trees: list[Tree], least: int = 1) -> Tree:
+    """The union of trees, equal phrases adding their weights.
 
-def _chunk_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.binary(), pa.binary(), pa.binary())
-    columns = list(zip(*rows)) or [()] * 4
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["grp", "first", "last", "automaton"])
+    Phrases of less than ``least`` go, but for the empty one, whose weight is the number of all words.
+    """
+    words = sorted({word for tree in trees for word in tree.words})
+    number = {word: k for k, word in enumerate(words)}
+    renamed = [np.array([*(number[w] for w in tree.words), -1], np.int64)[tree.rows] for tree in trees]
+    rows, weights = np.concatenate(renamed), np.concatenate([tree.weights for tree in trees])
+    order = np.lexsort(rows.T[::-1])
+    rows, weights = rows[order], weights[order]
+    firsts = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(1)))
+    rows, weights = rows[firsts], np.add.reduceat(weights, firsts)
+    kept = (weights >= least) | (rows[:, 0] < 0)
+    return Tree(words, rows[kept], weights[kept])
+
+
+_CHUNK = "grp string, first binary, last binary, tree binary"
+
+
+class _Held:
+    """Phrases of one group that a task has seen: hashes, counts, and the hashes of their words."""
+
+    def __init__(self, longest: int) -> None:
+        self.longest, self.total = longest, 0
+        self.names: dict[int, bytes] = {}
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, words: Words, n: int, at: np.ndarray, hashes: np.ndarray) -> None:
+        found, firsts, counts = np.unique(hashes, return_index=True, return_counts=True)
+        at = at[firsts]
+        if n == 1:
+            for h, k in zip(found.tolist(), at.tolist()):
+                if h not in self.names:
+                    self.names[h] = words.phrase(k, 1)
+        made_of = np.zeros((len(found), self.longest), _U)
+        for j in range(n):
+            made_of[:, j] = words.hashes[at + j]
+        self.parts.append((found, counts, made_of))
+        self.size += len(found)
+
+    def merge(self) -> None:
+        hashes, counts, made_of = (np.concatenate(x) for x in zip(*self.parts))
+        found, firsts, at = np.unique(hashes, return_index=True, return_inverse=True)
+        added = np.bincount(at, counts, len(found)).astype(np.int64)
+        self.parts = [(found, added, made_of[firsts])]
+        self.size = len(found)
+
+    def tree(self) -> Tree:
+        self.merge()
+        _, counts, made_of = self.parts[0]
+        hashes, words = zip(*sorted(self.names.items(), key=itemgetter(1))) if self.names else ((), ())
+        named = np.array(hashes, _U)
+        by_hash = np.argsort(named)
+        rows = np.full((len(counts) + 1, self.longest), -1, np.int64)  # the first row is the empty phrase
+        used = made_of != 0
+        rows[1:][used] = by_hash[np.searchsorted(named[by_hash], made_of[used])]
+        weights = np.append(self.total, counts)
+        order = np.lexsort(rows.T[::-1])
+        return Tree(list(words), rows[order], weights[order])
 
 
 def _shards(made, longest: int) -> Callable:
-    def flush(held: dict, totals: dict) -> Iterator[pa.RecordBatch]:
-        for group, total in totals.items():
-            counted = sorted((phrase, n) for n, phrase in held.get(group, {}).values())
-            counted.insert(0, ((), total))
-            for k in range(0, len(counted), PHRASES_PER_CHUNK):
-                part = counted[k : k + PHRASES_PER_CHUNK]
-                yield _chunk_rows([(group, _joined(part[0][0]), _joined(part[-1][0]), Automaton.built(part).dumped())])
+    def flush(held: dict[str, _Held]) -> Iterator[pa.RecordBatch]:
+        for group, mine in held.items():
+            tree = mine.tree()
+            chunks = [(k, min(k + PHRASES_PER_CHUNK, len(tree.rows))) for k in range(0, len(tree.rows), PHRASES_PER_CHUNK)]
+            rows = [(group, _joined(tree.phrase(a)), _joined(tree.phrase(b - 1)), tree.dumped(a, b)) for a, b in chunks]
+            kinds = (pa.string(), pa.binary(), pa.binary(), pa.binary())
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["grp", "first", "last", "tree"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict] = {}
-        totals: dict[str, int] = {}
-        n_held = 0
+        held: dict[str, _Held] = {}
         for group, words in _words_by_group(batches):
-            totals[group] = totals.get(group, 0) + len(words.hashes)
-            mine = held.setdefault(group, {})
-            before = len(mine)
-            pairs = words.together() & _passes(made.value, words.grams(2))
+            mine = held.setdefault(group, _Held(longest))
+            mine.total += len(words.hashes)
+            hashes, pairs = words.hashes, words.together()
+            fits = _passes(made.value, hashes)
             for n in range(1, longest + 1):
-                hashes = words.grams(n)
-                if n == 1:
-                    fits = _passes(made.value, hashes)
-                else:
-                    fits = np.ones(len(hashes), bool)
-                    for j in range(n - 1):
-                        fits &= pairs[j : j + len(hashes)]
+                if n > 1:  # both shorter phrases in it are frequent, and so are all its words
+                    hashes = words.grams(n)
+                    fits = fits[:-1] & fits[1:] if n > 2 else fits[:-1] & fits[1:] & pairs
+                    at = np.flatnonzero(fits)
+                    fits[at] = _passes(made.value, hashes[at])
                 at = np.flatnonzero(fits)
-                found, firsts, counts = np.unique(hashes[at], return_index=True, return_counts=True)
-                for h, k, count in zip(found.tolist(), at[firsts].tolist(), counts.tolist()):
-                    entry = mine.get(h)
-                    if entry is None:
-                        mine[h] = [count, words.phrase(k, n)]
-                    else:
-                        entry[0] += count
-            n_held += len(mine) - before
-            if n_held >= PHRASES_HELD:
-                yield from flush(held, totals)
-                held, totals, n_held = {}, {}, 0
-        yield from flush(held, totals)
+                mine.add(words, n, at, hashes[at])
+            if sum(x.size for x in held.values()) >= 2 * PHRASES_HELD:
+                for other in held.values():
+                    other.merge()
+                if sum(x.size for x in held.values()) >= PHRASES_HELD:
+                    yield from flush(held)
+                    held = {}
+        yield from flush(held)
 
     return run
 
@@ -421,40 +535,51 @@ def _boundaries(chunks: DataFrame, per_range: int, sample: int) -> list[tuple[st
     return sorted({starts[k * len(starts) // ranges] for k in range(1, ranges)})
 
 
-_RANGED = "range bigint, grp string, automaton binary"
+_RANGED = "range bigint, grp string, tree binary"
+_UNITED = "range bigint, grp string, automaton binary"
 
 
 def _dealt(boundaries) -> Callable:
-    """Chunks cut at the boundaries of ranges."""
+    """Chunks to every range that they reach into."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = boundaries.value
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                group = row["grp"]
-                low, high = (bisect.bisect_right(starts, (group, _words_of(row[c]))) for c in ("first", "last"))
-                if low == high:
-                    rows.append((low, group, row["automaton"]))
-                    continue
-                phrases = Automaton.loaded(row["automaton"]).phrases()
-                for k, part in groupby(phrases, lambda x: bisect.bisect_right(starts, (group, x[0]))):
-                    rows.append((k, group, Automaton.built(part).dumped()))
-            columns = list(zip(*rows)) or [()] * 3
-            kinds = (pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["range", "grp", "automaton"])
+            at, ranges = [], []
+            for k, row in enumerate(batch.select(["grp", "first", "last"]).to_pylist()):
+                low, high = (bisect.bisect_right(starts, (row["grp"], _words_of(row[c]))) for c in ("first", "last"))
+                at += [k] * (high - low + 1)
+                ranges += range(low, high + 1)
+            rows = batch.take(pa.array(at, pa.int64()))
+            columns = [pa.array(ranges, pa.int64()), rows.column("grp"), rows.column("tree")]
+            yield pa.RecordBatch.from_arrays(columns, names=["range", "grp", "tree"])
 
     return run
 
 
-def _united(least: int) -> Callable:
+def _within(tree: Tree, group: str, low: tuple | None, high: tuple | None) -> Automaton:
+    """The automaton of those phrases of a tree that lie in one range."""
+    place = lambda k: (group, tree.phrase(k))
+    first = 0 if low is None else bisect.bisect_left(range(len(tree.rows)), low, key=place)
+    last = len(tree.rows) if high is None else bisect.bisect_left(range(len(tree.rows)), high, key=place)
+    return Automaton.built((tree.phrase(k), int(tree.weights[k])) for k in range(first, last))
+
+
+def _united(least: int, boundaries) -> Callable:
+    """The sum of all chunks that reach into a range, as far as they do."""
+
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        starts, at = boundaries.value, key[0].as_py()
+        low, high = starts[at - 1] if at else None, starts[at] if at < len(starts) else None
         shards: dict[str, list[bytes]] = {}
-        for group, data in zip(table.column("grp").to_pylist(), table.column("automaton").to_pylist()):
+        for group, data in zip(table.column("grp").to_pylist(), table.column("tree").to_pylist()):
             shards.setdefault(group, []).append(data)
-        made = {g: union(map(Automaton.loaded, parts), least).dumped() for g, parts in shards.items()}
+        made = {}
+        for group, parts in shards.items():
+            tree = summed([Tree.loaded(part) for part in parts], least)
+            made[group] = _within(tree, group, low, high).dumped()
         columns = {
-            "range": pa.array([key[0].as_py()] * len(made), pa.int64()),
+            "range": pa.array([at] * len(made), pa.int64()),
             "grp": pa.array(list(made), pa.string()),
             "automaton": pa.array(list(made.values()), pa.binary()),
         }
@@ -471,12 +596,12 @@ def phrase_counts(
     ``(range, grp, automaton)``, one row for each group and range of phrases, and where ranges begin.
     """
     spark = texts.sparkSession
-    made = often_filter(texts, least, max_bits)
+    made = often_filter(texts, least, longest, max_bits)
     chunks = stored(texts.mapInArrow(_shards(made, longest), _CHUNK))
     boundaries = _boundaries(chunks, CHUNKS_PER_RANGE, BOUNDARY_SAMPLE)
     shared = spark.sparkContext.broadcast(boundaries)  # at most BOUNDARY_SAMPLE phrases
     ranged = chunks.mapInArrow(_dealt(shared), _RANGED)
-    return stored(ranged.groupBy("range").applyInArrow(_united(least), _RANGED)), boundaries
+    return stored(ranged.groupBy("range").applyInArrow(_united(least, shared), _UNITED)), boundaries
 
 
 # Candidates, their parts and their scores.
@@ -568,9 +693,9 @@ def mine(
     words of the group.  A missing text is empty, a missing group is ``no_group``; an empty table
     gives no rows, as does a group without candidates.
 
-    A phrase that is frequent holds frequent words and pairs only, so a filter of these (`often_filter`) keeps
-    rare phrases from being gathered.  Each task builds automata of sorted phrases, which meet by ranges
-    of phrases and are summed there; no range depends on one word or pair alone.  Phrases are told apart by
+    A phrase that is frequent holds frequent pairs only, so a filter built level by level (`often_filter`)
+    keeps rare phrases from being gathered.  Each task builds trees of sorted phrases, which meet by ranges
+    of phrases and are summed there into minimal automata; no range depends on one word or pair alone.  Phrases are told apart by
     64 bits of hash within a task, and by their words from there on.
     """
     spark = docs.sparkSession
