@@ -189,6 +189,16 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dry_run_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dry run over the logs as CSV files: its sample of valid rows, and why others are rejected."""
+    folder = scratch_path(spark)
+    _write_csv(derived.email_logs(_events(spark, sf_dir)), folder)
+    report = tt.ingest_email_logs(spark, folder, write=False, multi_line=False)
+    shown = ["event_id", "user_email", "_error_reason"]
+    valid = report.sample.where("_error_reason IS NULL").select(*shown)
+    return valid.union(report.quarantine.select(*shown))
+
+
 def whatsapp_staged_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages as the documents describe them: local times as text, campaigns in [CAMP:...] tags."""
     logs = derived.whatsapp_logs(_events(spark, sf_dir))
@@ -338,6 +348,7 @@ def queries() -> dict[str, Query]:
         "raw_retained": raw_retained,
         "mart_backfill": mart_backfill,
         "ingest_report": ingest_report,
+        "dry_run_sample": dry_run_sample,
         "whatsapp_staged_documented": whatsapp_staged_documented,
         "crm_staged_local_date": crm_staged_local_date,
         "events_enriched": events_enriched,

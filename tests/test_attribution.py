@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 import touchtrail as tt
 from checks import derived
 from touchtrail.operators import (
-    broadcast_size,
     gate_stats,
     identities,
     interactions,
+    look_at_owners,
     judge,
     matching,
     owned_events,
@@ -18,6 +18,8 @@ from touchtrail.operators import (
     reject_summary,
 )
 
+from touchtrail.plans import attribution
+
 from .conftest import touch
 
 
@@ -182,20 +184,46 @@ def test_against_brute_force(spark, staged, users, seed, broadcast_rows, monkeyp
 
 def test_early_filter_drops_only_strangers(spark, staged, users, monkeypatch):
     touches, people = _random_case(4)
-    events, owners = interactions(*staged(touches)), identities(users(people))
+    crm = users(people)
+    events, owners = interactions(*staged(touches)), identities(crm)
     known = {(r.channel, r.identity) for r in owners.collect()}
-    kept = owned_events(events, owners, broadcast_size(owners)).collect()
+    kept = owned_events(events, look_at_owners(crm)).collect()
     assert sorted(r.raw_log_id for r in kept) == sorted(
         r.raw_log_id for r in events.collect() if (r.channel, r.identity) in known
     )
     monkeypatch.setattr(matching, "BROADCAST_ROWS", owners.count())
-    rows, size = broadcast_size(owners)
+    rows, size = look_at_owners(crm).size
     assert (rows, size) == (owners.count(), sum(len(r.identity) + len(r.user_id) for r in owners.collect()))
     monkeypatch.setattr(matching, "BROADCAST_BYTES", size - 1)
-    assert broadcast_size(owners) is None
+    assert look_at_owners(crm).size is None
     monkeypatch.setattr(matching, "BROADCAST_BYTES", size)
     monkeypatch.setattr(matching, "BROADCAST_ROWS", owners.count() - 1)
-    assert broadcast_size(owners) is None
+    assert look_at_owners(crm).size is None
+
+
+def test_owners_are_looked_at_in_one_job(spark, users, monkeypatch):
+    crm = users([(f"u{k}", f"m{k}@x", "55119" if k % 3 else None, "2024-01-05") for k in range(60)])
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("look", "look")
+    owners = look_at_owners(crm)
+    for days in (7, 30):
+        owners.fit(days), owners.widely_shared(days)
+    assert len(jobs.getJobIdsForGroup("look")) == 1
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert owners.size[0] == 100 == owners.rows.count() and owners.shared == 40
+    monkeypatch.setattr(matching, "SHARED_BY", 39)
+    assert not owners.widely_shared(7)
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", 99)
+    assert owners.widely_shared(7)
+
+
+def test_both_ways_to_rank_agree(staged, users, monkeypatch):
+    touches, people = _random_case(7)
+    events, crm = staged(touches), users(people)
+    together = tt.ranked_interactions(*events, crm).collect()
+    monkeypatch.setattr(attribution, "RANKED_TOGETHER", 0)
+    divided = tt.ranked_interactions(*events, crm).collect()
+    assert sorted(map(str, together)) == sorted(map(str, divided)) != []
 
 
 def test_rank_of_one_very_busy_user(spark):

@@ -154,3 +154,23 @@ def test_daily_stream_appends_new_files_once(spark, tmp_path):
     stored = spark.read.parquet(valid)
     assert {"ingest_date", "batch_id", "_source_file", "_ingested_at"} < set(stored.columns)
     assert sorted(r["_source_file"] for r in stored.collect()) == ["a.csv", "b.csv", "b.csv"]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_dry_run_picks_the_same_rows_on_every_partitioning(spark, tables, tmp_path, parts):
+    rows = [row(k, GOOD if k % 3 else "", f"m{k}@x") for k in range(60)]
+    whole = write(tmp_path / "mail.csv", rows)
+    for k in range(parts):
+        write(tmp_path / f"part-{k}.csv", rows[k::parts])
+    want = ingest_email_logs(spark, whole, *tables, write=False).sample
+    report = ingest_email_logs(spark, str(tmp_path / "part-*.csv"), *tables, write=False)
+    shown = lambda frame: sorted((r.event_id, r._error_reason) for r in frame.collect())
+    assert shown(report.sample) == shown(want)
+    assert [sum(r._error_reason is None for r in report.sample.collect()), report.sample.count()] == [5, 10]
+    assert (report.total_rows, report.valid_rows, report.dry_run) == (60, 40, True)
+    assert not spark.catalog.tableExists(tables[0])
+
+
+def test_dry_run_of_no_rows(spark, tables, tmp_path):
+    report = ingest_email_logs(spark, write(tmp_path / "mail.csv", []), *tables, write=False, sample=3)
+    assert (report.total_rows, report.valid_rows, report.sample.count()) == (0, 0, 0)

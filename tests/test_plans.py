@@ -55,6 +55,7 @@ def stored(spark, tmp_path_factory):
 
 STORED = (
     "ingest_report",
+    "dry_run_sample",
     "mart_backfill",
     "raw_daily_retained",
     "mart_from_layers",
@@ -216,7 +217,7 @@ def test_blank_identities_are_not_counted_or_joined(spark):
     _, crm = shared_number(spark, 300)
     owners = matching.identities(crm)
     assert owners.where("identity = ''").isEmpty()
-    assert matching.broadcast_size(owners)[0] == 200
+    assert matching.look_at_owners(crm).size[0] == 200
 
 
 def test_rows_without_user_or_time_are_ranked_too(spark):

@@ -12,19 +12,18 @@ from .gate import (
 )
 from .history import deduplicate, enrich, new_rows, retain
 from .matching import (
-    broadcast_size,
     day_touches,
     identities,
     interactions,
     interactions_by_day,
     interactions_of_owners,
+    look_at_owners,
     owned_events,
 )
 from .ranking import rank_interactions, top_row
 
 __all__ = [
     "GateResult",
-    "broadcast_size",
     "day_touches",
     "deduplicate",
     "enrich",
@@ -33,6 +32,7 @@ __all__ = [
     "interactions",
     "interactions_by_day",
     "interactions_of_owners",
+    "look_at_owners",
     "judge",
     "new_rows",
     "owned_events",

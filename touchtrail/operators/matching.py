@@ -12,9 +12,12 @@ and a popular identity is spread over its days.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..constants import EMAIL_CHANNEL, WEIGHT_LABELS, WHATSAPP_CHANNEL, WINDOW_DAYS
+from ..session import stored
 from .ranking import top_row
 
 # Bounds of a broadcast: rows, and bytes of text in them.
@@ -85,53 +88,68 @@ def unrolled(owners: DataFrame, days: int) -> DataFrame:
     )
 
 
-def broadcast_size(owners: DataFrame) -> tuple[int, int] | None:
-    """Rows and text bytes of the owners, or None when they are too many to broadcast.
+class Owners(NamedTuple):
+    """Identities of converted users, stored, and what one look at them told."""
 
-    One job over the users that shuffles a pair of sums per task.  Every broadcast of this
-    module rests on it; planner estimates would miss that windows are unrolled.
-    """
-    text = F.octet_length("identity") + F.octet_length("user_id")
-    size = tuple(owners.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first())
-    return size if _may_broadcast(size) else None
+    rows: DataFrame
+    size: tuple[int, int] | None
+    shared: int
+
+    def fit(self, copies: int = 1) -> bool:
+        """TRUE when so many copies of them may be broadcast."""
+        return _may_broadcast(self.size, copies)
 
+    def widely_shared(self, days: int) -> bool:
+        """TRUE when users too many to broadcast share one identity by the thousands."""
+        return not self.fit(days + 1) and self.shared > SHARED_BY
 
-def widely_shared(owners: DataFrame, size: tuple[int, int] | None, days: int) -> bool:
-    """TRUE when users too many to broadcast share one identity by the thousands.
 
-    Counted map-side over the users, who are few beside the events.
+def look_at_owners(crm: DataFrame) -> Owners:
+    """X3 stored: rows, text bytes and how many users share one identity, all from the job that writes them.
+
+    Users are derived once, however often a plan reads them.  Every broadcast of this module rests on
+    the counts; planner estimates would miss that windows are unrolled.  The most shared identity comes
+    from a sketch of frequent items, which may take it for more shared than it is but not for less.
     """
-    if _may_broadcast(size, days + 1):
-        return False
-    most = owners.groupBy(*_OWNER_KEY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (most or 0) > SHARED_BY
+    seen = Observation()
+    identity = F.xxhash64(*_OWNER_KEY)
+    text = F.octet_length("identity") + F.octet_length("user_id")
+    rows = identities(crm).observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(text), F.lit(0)).alias("bytes"),
+        F.call_function("approx_top_k", identity, F.lit(1)).alias("most"),
+    )
+    kept = stored(rows)
+    found = seen.get
+    size = (found["rows"], found["bytes"])
+    shared = found["most"][0]["count"] if found["most"] else 0
+    return Owners(kept, size if _may_broadcast(size) else None, shared)
 
 
 def _may_broadcast(size: tuple[int, int] | None, copies: int = 1) -> bool:
     return size is not None and size[0] * copies <= BROADCAST_ROWS and size[1] * copies <= BROADCAST_BYTES
 
 
-def owned_events(events: DataFrame, owners: DataFrame, size: tuple[int, int] | None) -> DataFrame:
+def owned_events(events: DataFrame, owners: Owners) -> DataFrame:
     """Early drop of events whose identity no converted user owns, while those are few.
 
     The identities are broadcast and events filtered where they are read.  With many owners
     the events pass unfiltered and the later join does the same work, shuffled.
     """
-    if not _may_broadcast(size):
+    if not owners.fit():
         return events
-    return events.join(F.broadcast(owners.select(*_OWNER_KEY)), _OWNER_KEY, "left_semi")
+    return events.join(F.broadcast(owners.rows.select(*_OWNER_KEY)), _OWNER_KEY, "left_semi")
 
 
-def interactions_of_owners(
-    events: DataFrame, owners: DataFrame, size: tuple[int, int] | None
-) -> DataFrame:
+def interactions_of_owners(events: DataFrame, owners: Owners) -> DataFrame:
     """Every event with each user who owns its identity, whatever the date.
 
     An identity that several users share gives each of them every event; that is the rule, so the
     result has events x owners of it.  The mart goes through `interactions_by_day` instead.
     """
-    users = owners.select(*_OWNER_KEY, "user_id")
-    users = F.broadcast(users) if _may_broadcast(size) else users.hint("merge")
+    users = owners.rows.select(*_OWNER_KEY, "user_id")
+    users = F.broadcast(users) if owners.fit() else users.hint("merge")
     return events.join(users, _OWNER_KEY).select(*_INTERACTION)
 
 
@@ -147,11 +165,7 @@ def day_touches(events: DataFrame) -> DataFrame:
 
 
 def interactions_by_day(
-    events: DataFrame,
-    owners: DataFrame,
-    size: tuple[int, int] | None,
-    days: int = WINDOW_DAYS,
-    split: bool = False,
+    events: DataFrame, owners: Owners, days: int = WINDOW_DAYS, split: bool = False
 ) -> DataFrame:
     """Events (or day touches) inside the window of the users they belong to.
 
@@ -159,8 +173,8 @@ def interactions_by_day(
     a column to the key, so both sides are exchanged for the join itself and adaptive execution
     divides a number that very many users share.  The rows are the same.
     """
-    windows, keys = unrolled(owners, days), _DAY_KEY
-    windows = F.broadcast(windows) if _may_broadcast(size, days + 1) else windows.hint("merge")
+    windows, keys = unrolled(owners.rows, days), _DAY_KEY
+    windows = F.broadcast(windows) if owners.fit(days + 1) else windows.hint("merge")
     if split:
         windows, events = (df.withColumn(_SPLIT, F.xxhash64(*_DAY_KEY)) for df in (windows, events))
         keys = [*_DAY_KEY, _SPLIT]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _RANK = "_rank"
+# Rows of one user that a task may sort together.
+RANKED_TOGETHER = 1_000_000
 
 
 def top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -20,14 +22,21 @@ def top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Data
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
-def rank_interactions(df: DataFrame, partition: Sequence[str] = ("user_id",)) -> DataFrame:
+def rank_interactions(
+    df: DataFrame, partition: Sequence[str] = ("user_id",), divided: bool = True
+) -> DataFrame:
     """Rank of every interaction of a user: latest day, lowest weight, latest time.
 
-    A user with very many interactions is not ranked in one task.  Rows are numbered within
+    Without ``divided`` a user is sorted in one task, which suits users of up to ``RANKED_TOGETHER`` rows.
+    Else a user with very many interactions is not ranked in one task.  Rows are numbered within
     (user, day, weight, minute) and lifted by the size of the groups in front, which comes
     from a map-side count.  The second window sees one row per such group, however many
     interactions it holds.  ``df`` is read twice.
     """
+    if not divided:
+        days = [F.desc("interaction_date"), F.asc("interaction_weight"), F.desc("interaction_ts")]
+        order = Window.partitionBy(*partition).orderBy(*days, F.asc("channel"), F.asc("raw_log_id"))
+        return df.withColumn("attribution_rank", F.row_number().over(order).cast("bigint"))
     df = df.withColumn("_minute", F.hour("interaction_ts") * 60 + F.minute("interaction_ts"))
     groups = [*partition, "interaction_date", "interaction_weight", "_minute"]
     group_order = [F.desc("interaction_date"), F.asc("interaction_weight"), F.desc("_minute")]

@@ -9,22 +9,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..constants import FALLBACK_WEIGHT, WINDOW_DAYS
 from ..functions import surrogate_key, weight_label
 from ..operators.matching import (
-    broadcast_size,
     day_touches,
-    identities,
     interactions,
     interactions_by_day,
     interactions_of_owners,
     known_weights_only,
+    look_at_owners,
+    Owners,
     owned_events,
-    widely_shared,
 )
-from ..operators.ranking import rank_interactions, top_row
+from ..operators.ranking import RANKED_TOGETHER, rank_interactions, top_row
 from ..session import stored
 
 Mode = Literal["documented", "as_written"]
@@ -52,8 +51,7 @@ def unified_interactions(email: DataFrame, whatsapp: DataFrame, crm: DataFrame)
     Few users are broadcast.  Otherwise both sides are shuffled straight from their scans, so
     adaptive execution can split a skewed identity.
     """
-    owners = identities(crm)
-    return interactions_of_owners(interactions(email, whatsapp), owners, broadcast_size(owners))
+    return interactions_of_owners(interactions(email, whatsapp), look_at_owners(crm))
 
 
 def interactions_in_window(
@@ -64,10 +62,8 @@ def interactions_in_window(
     The conversion date travels with the identity, so users are joined once, not twice;
     ``user_id`` must be unique in ``crm`` (see `duplicate_users`).
     """
-    owners = identities(crm)
-    size = broadcast_size(owners)
-    events = owned_events(interactions(email, whatsapp), owners, size)
-    return interactions_by_day(events, owners, size, days)
+    owners = look_at_owners(crm)
+    return interactions_by_day(owned_events(interactions(email, whatsapp), owners), owners, days)
 
 
 def ranked_interactions(
@@ -79,24 +75,26 @@ def ranked_interactions(
 ) -> DataFrame:
     """W1 over `interactions_in_window`.
 
-    Ranking reads its input twice.  The rows inside the windows are few beside the logs, so
-    they are stored once rather than matched again.
+    The rows inside the windows are few beside the logs, so they are stored once, which also tells how many
+    the busiest user has (from a sketch of frequent items).  Only if those are too many for a task
+    are users divided, which reads the rows twice.
     """
-    rows = stored(interactions_in_window(email, whatsapp, crm, days))
-    return rank_interactions(rows, _group(grain))
+    group, seen = _group(grain), Observation()
+    rows = interactions_in_window(email, whatsapp, crm, days)
+    rows = stored(rows.observe(seen, F.call_function("approx_top_k", F.xxhash64(*group), F.lit(1)).alias("most")))
+    most = seen.get["most"]
+    return rank_interactions(rows, group, divided=bool(most) and most[0]["count"] > RANKED_TOGETHER)
 
 
-def _touches(events: DataFrame, owners: DataFrame, days: int) -> DataFrame:
+def _touches(events: DataFrame, owners: Owners, days: int) -> DataFrame:
     """The strongest event per identity and day, joined to the users it counts for."""
-    size = broadcast_size(owners)
-    strongest = day_touches(owned_events(events, owners, size))
-    return interactions_by_day(strongest, owners, size, days, split=widely_shared(owners, size, days))
+    strongest = day_touches(owned_events(events, owners))
+    return interactions_by_day(strongest, owners, days, split=owners.widely_shared(days))
 
 
-def _stored_touches(touches: DataFrame, owners: DataFrame, days: int) -> DataFrame:
+def _stored_touches(touches: DataFrame, owners: Owners, days: int) -> DataFrame:
     """The same from a stored summary.  It comes straight from its scan, so the join can divide any key."""
-    size = broadcast_size(owners)
-    return interactions_by_day(owned_events(touches, owners, size), owners, size, days)
+    return interactions_by_day(owned_events(touches, owners), owners, days)
 
 
 def touches_by_day(email: DataFrame, whatsapp: DataFrame) -> DataFrame:
@@ -114,7 +112,7 @@ def premium_users(
 ) -> DataFrame:
     """A1: users with anything better than sent/delivered in their window."""
     premium = interactions(email, whatsapp).where(F.col("interaction_weight") < FALLBACK_WEIGHT)
-    return _touches(premium, identities(crm), days).select("user_id").distinct()
+    return _touches(premium, look_at_owners(crm), days).select("user_id").distinct()
 
 
 def _winners_documented(touches: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -166,7 +164,7 @@ def attribute(
     brings at most two channels x (days + 1) rows into the final window.
     """
     _check(mode)
-    events, owners = interactions(email, whatsapp), identities(crm)
+    events, owners = interactions(email, whatsapp), look_at_owners(crm)
     if mode == "documented":
         events = known_weights_only(events)
     return _attributed(_touches(events, owners, days), mode, grain)
@@ -179,7 +177,7 @@ def attribute_touches(
     _check(mode)
     if mode == "documented":
         touches = known_weights_only(touches)
-    return _attributed(_stored_touches(touches, identities(crm), days), mode, grain)
+    return _attributed(_stored_touches(touches, look_at_owners(crm), days), mode, grain)
 
 
 def _check(mode: str) -> None:

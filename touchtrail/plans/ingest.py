@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..constants import QUARANTINE_ALERT_PCT
-from ..operators.gate import ISO_UTC, judge, quarantined, stats_columns, validated
+from ..operators.gate import ISO_UTC, judge, quarantined, sample_rows, stats_columns, validated
 from ..operators.history import deduplicate, has_key, new_copies, new_rows
 from ..session import scratch_table
 from ..sources.event_csv import read_event_csv
@@ -17,13 +17,15 @@ from ..sources.tables import append_table, replace_table
 
 VALID_TABLE = "raw_sfmc_email_logs"
 QUARANTINE_TABLE = "raw_sfmc_email_logs_quarantine"
+SAMPLE_ROWS = 5
 
 
 @dataclass(frozen=True)
 class IngestReport:
     """Q11: outcome of one run.
 
-    The frames are lazy plans over the input, for samples after a dry run (Q12).
+    After a dry run ``sample`` holds a few valid and rejected rows (Q12).  The other frames are lazy plans
+    over the input.
     """
 
     total_rows: int
@@ -38,6 +40,7 @@ class IngestReport:
     status: str
     valid: DataFrame
     quarantine: DataFrame
+    sample: DataFrame | None = None
 
 
 def ingest_email_logs(
@@ -48,19 +51,21 @@ def ingest_email_logs(
     write: bool = True,
     alert_pct: float = QUARANTINE_ALERT_PCT,
     multi_line: bool = True,
+    sample: int = SAMPLE_ROWS,
 ) -> IngestReport:
     """Read, judge, replace the valid table, append to the quarantine table.
 
     Texts are split and parsed once: the judged rows go to a scratch table in columnar form,
     are counted on the way and loaded from there.  An input without any valid row leaves the
-    old valid table in place, one without rejects leaves the quarantine table alone.
+    old valid table in place, one without rejects leaves the quarantine table alone.  Without ``write``
+    rows are counted and ``sample`` of each kind picked in one pass (`sample_rows`).
     """
     started = time.monotonic()
     judged = judge(read_event_csv(spark, path, multi_line)).withColumn(
         "_ingested_at", F.date_format(F.current_timestamp(), ISO_UTC)
     )
+    counts, picked = Observation(), None
     if write:
-        counts = Observation()
         with scratch_table(judged.observe(counts, *stats_columns())) as rows:
             total, passed = counts.get["total_rows"], counts.get["valid_rows"]
             if passed:
@@ -68,7 +73,9 @@ def ingest_email_logs(
             if passed < total:
                 append_table(quarantined(rows), quarantine_table)
     else:
-        total, passed = judged.agg(*stats_columns()).first()
+        rows = sample_rows(judged.observe(counts, *stats_columns()), sample)
+        picked = spark.createDataFrame(rows.collect(), rows.schema)  # at most two times ``sample`` rows
+        total, passed = counts.get["total_rows"], counts.get["valid_rows"]
     rejected = total - passed
 
     rate = round(rejected / total * 100, 2) if total else 0
@@ -85,6 +92,7 @@ def ingest_email_logs(
         status="success",
         valid=validated(judged),
         quarantine=quarantined(judged),
+        sample=picked,
     )
 
 
