@@ -1,4 +1,5 @@
 import math
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,57 @@ def test_awkward_rows_and_no_labels(spark):
     assert quality.classify(frame(spark, AWKWARD), odd).count() == len(AWKWARD)
 
 
+def test_an_id_that_repeats_adds_no_rows(spark):
+    docs = frame(spark, [(1, prose(k), "s") for k in range(80)] + [(2, prose(500), "s"), (3, None, "s")])
+    labels = spark.createDataFrame([(k, 1, 0, "", "") for k in range(1, 9)], LABELS)
+    sample = quality.labelled_sample(docs, labels, "doc_id", "text")
+    want = [(1, min((prose(k) for k in range(80)), key=str.encode)), (2, prose(500)), (3, "")]
+    assert sorted((r["_id"], r.text) for r in sample.collect()) == want
+    assert quality.labelled_sample(docs, labels, "doc_id", "text", limit=2).count() <= 2
+
+
+def plain_rates(scores, depth):
+    """Posterior rates of one level of paths: ``scores`` are (path, chance) pairs."""
+    corpus = min(max(sum(x for _, x in scores) / len(scores), 1e-6), 1 - 1e-6)
+    above = {(): corpus}
+    for level in range(1, depth + 1):
+        sums, n = defaultdict(float), Counter()
+        for path, x in scores:
+            sums[path[:level]] += x
+            n[path[:level]] += 1
+        up = {site: above[site[:-1]] for site in n}
+        squares = sum(n[s] * (sums[s] / n[s] - up[s]) ** 2 for s in n)
+        chance, mass = (sum(w * up[s] * (1 - up[s]) for s, w in weights.items()) for weights in (dict.fromkeys(n, 1), n))
+        if mass <= chance:
+            strength = 1e6
+        else:
+            strength = min(max(1 / max((squares - chance) / (mass - chance), 1e-9) - 1, 1.0), 1e6)
+        above = {s: (sums[s] + strength * up[s]) / (n[s] + strength) for s in n}
+    return above, corpus
+
+
+def test_equals_plain_code(spark):
+    """Every row of `classify`, from the trained model's evidence on."""
+    rows, labels = corpus(400)
+    rows += [(i, t, s) for i, t, s in AWKWARD]
+    docs, known = frame(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 3 > 0, "en")), spark.createDataFrame(labels[:300], LABELS)
+    model = quality.train_on(docs, known)
+    held = [(r.doc_id, (r.source, r.lang), *model.evidence(r.text or "")) for r in docs.collect()]
+    odds = lambda p: math.log(p / (1 - p))
+    chance = lambda x: 1 / (1 + math.exp(-x))
+    rates = [plain_rates([(path, chance(e[k])) for _, path, *e in held], 2) for k in range(2)]
+    want = []
+    for i, path, *evidence in held:
+        shifts = [min(max(odds(site[path]) - odds(all_), -quality.MAX_SHIFT), quality.MAX_SHIFT) for site, all_ in rates]
+        p = [chance(x + y) for x, y in zip(evidence, shifts)]
+        want.append((i, *p, *(site[path] for site, _ in rates), max(p) < quality.THRESHOLD))
+    found = quality.classify(docs, known).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, *r[1:3])
+    for a, b in zip(sorted(map(tuple, found), key=order), sorted(want, key=order), strict=True):
+        assert a[0] == b[0] and a[5] == b[5]
+        assert a[1:5] == pytest.approx(b[1:5], rel=1e-9)
+
+
 def test_kept_rows_keep_their_columns(spark):
     rows, labels = corpus(300)
     known = spark.createDataFrame(labels, LABELS)
