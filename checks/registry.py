@@ -13,8 +13,8 @@ from touchtrail.constants import LEGACY_TAG_PATTERN, LOCAL_ZONE, WINDOW_DAYS
 from touchtrail.functions import wall_clock_from_text
 from touchtrail.operators import matching
 from touchtrail.plans import layers
-from touchtrail.session import scratch_path
-from touchtrail.sources import append_daily, drop_expired_partitions, replace_dates, replace_table
+from touchtrail.session import scratch_path, stored
+from touchtrail.sources import append_daily, drop_expired_partitions, read_event_csv, replace_dates, replace_table
 from touchtrail.sources.tables import STAGED_PARTITION
 from touchtrail.streaming import append_new_files
 
@@ -189,6 +189,19 @@ def ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs, with line breaks in their documents, as one CSV file that is read in ranges of 64 KB."""
+    logs = derived.email_logs(_events(spark, sf_dir))
+    folder, size = scratch_path(spark), "spark.sql.files.maxPartitionBytes"
+    _write_csv(logs.withColumn("message_details", F.replace("message_details", F.lit("{"), F.lit("{\n"))).coalesce(1), folder)
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        return stored(read_event_csv(spark, folder, multi_line="split").select(*logs.columns))
+    finally:
+        spark.conf.set(size, before)
+
+
 def dry_run_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dry run over the logs as CSV files: its sample of valid rows, and why others are rejected."""
     folder = scratch_path(spark)
@@ -348,6 +361,7 @@ def queries() -> dict[str, Query]:
         "raw_retained": raw_retained,
         "mart_backfill": mart_backfill,
         "ingest_report": ingest_report,
+        "csv_split_records": csv_split_records,
         "dry_run_sample": dry_run_sample,
         "whatsapp_staged_documented": whatsapp_staged_documented,
         "crm_staged_local_date": crm_staged_local_date,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -50,7 +51,7 @@ def ingest_email_logs(
     quarantine_table: str = QUARANTINE_TABLE,
     write: bool = True,
     alert_pct: float = QUARANTINE_ALERT_PCT,
-    multi_line: bool = True,
+    multi_line: bool | Literal["split"] = True,
     sample: int = SAMPLE_ROWS,
 ) -> IngestReport:
     """Read, judge, replace the valid table, append to the quarantine table.
