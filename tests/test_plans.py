@@ -56,6 +56,7 @@ def stored(spark, tmp_path_factory):
 STORED = (
     "ingest_report",
     "dry_run_sample",
+    "events_merged_by_sketch",
     "mart_backfill",
     "raw_daily_retained",
     "mart_from_layers",

@@ -14,6 +14,7 @@ from ..operators.gate import ISO_UTC, judge, quarantined, sample_rows, stats_col
 from ..operators.history import deduplicate, has_key, new_copies, new_rows
 from ..session import scratch_table
 from ..sources.event_csv import read_event_csv
+from ..sources.key_sketch import add_sketches, days_that_may_hold
 from ..sources.tables import append_table, replace_table
 
 VALID_TABLE = "raw_sfmc_email_logs"
@@ -103,6 +104,8 @@ def merge_new_events(
     newest_first: Sequence[Column],
     keys: Sequence[str] = ("event_id",),
     held_in: Column | None = None,
+    sketches: str | None = None,
+    day: str = "event_day",
 ) -> None:
     """Append the events a stored table does not hold yet, one row per key.
 
@@ -111,11 +114,25 @@ def merge_new_events(
     table holds as many as the batch with the most of them.  A rerun finds its own rows and adds
     nothing.  ``held_in`` may narrow the stored rows to compare with, such as a range of days; the
     caller then vouches that no key of the batch is stored outside.
+
+    With ``sketches`` (a prefix of table names) only days are read that may hold a key of the batch, told
+    by sketches of each ``day``'s keys; a day that was never sketched is read.  All loads of such a table
+    must come this way.  Rows without a key have no sketch, so for a batch with such rows all days are read.
     """
-    stored = batch.sparkSession.table(table)
+    spark = batch.sparkSession
+    stored = spark.table(table)
     if held_in is not None:
         stored = stored.where(held_in)
+    if sketches is not None and batch.where(~has_key(keys)).isEmpty():
+        days = days_that_may_hold(spark, batch.where(has_key(keys)), table, sketches, keys, day)
+        stored = stored.where(F.col(day).isin(days) if days else F.lit(False))
     columns = [c for c in stored.columns if not c.startswith("_")]
     keyed = new_rows(deduplicate(batch.where(has_key(keys)), keys, newest_first), stored, keys)
     keyless = new_copies(batch.where(~has_key(keys)), stored.where(~has_key(keys)), columns)
-    append_table(keyed.unionByName(keyless), table)
+    fresh = keyed.unionByName(keyless)
+    if sketches is None:
+        append_table(fresh, table)
+        return
+    with scratch_table(fresh) as rows:  # sketched, then appended: the same rows
+        add_sketches(rows.where(has_key(keys)), sketches, keys, day)
+        append_table(rows, table)
