@@ -72,8 +72,7 @@ def test_an_id_that_repeats_adds_no_rows(spark):
     docs = frame(spark, [(1, prose(k), "s") for k in range(80)] + [(2, prose(500), "s"), (3, None, "s")])
     labels = spark.createDataFrame([(k, 1, 0, "", "") for k in range(1, 9)], LABELS)
     sample = quality.labelled_sample(docs, labels, "doc_id", "text")
-    want = [(1, min((prose(k) for k in range(80)), key=str.encode)), (2, prose(500)), (3, "")]
-    assert sorted((r["_id"], r.text) for r in sample.collect()) == want
+    assert sorted((r["_id"], r.text) for r in sample.collect()) == [(2, prose(500)), (3, "")]
     assert quality.labelled_sample(docs, labels, "doc_id", "text", limit=2).count() <= 2
 
 

@@ -166,9 +166,10 @@ def choose_signs(
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, limit: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``limit`` labelled texts, those whose ids hash lowest; ids with several labels are skipped.
+    """At most ``limit`` labelled texts, those whose ids hash lowest.
 
-    Of rows that share an id the least text speaks for it, so an id that repeats adds no rows.
+    Ids with several labels are skipped, as are ids that several rows share: a label cannot tell them
+    apart.  Only ids are counted for that.
     """
     label = labels.select(F.col("doc_id").cast("bigint").alias("_id"), "quality", "toxic").where(
         "_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL"
@@ -176,8 +177,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     one = label.groupBy("_id").agg(F.count("*").alias("n"), F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     chosen = one.where("n = 1").orderBy(F.xxhash64("_id"), "_id").limit(limit).select("_id", "quality", "toxic")
     texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), text_or_empty(text_col).alias("text"))
-    labelled = texts.join(F.broadcast(chosen), "_id")
-    return labelled.groupBy("_id", "quality", "toxic").agg(F.min("text").alias("text")).select("_id", "text", "quality", "toxic")
+    shared = texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.count("*").alias("n")).where("n > 1")
+    told_apart = chosen.join(shared.select("_id"), "_id", "left_anti")
+    return texts.join(F.broadcast(told_apart), "_id").select("_id", "text", "quality", "toxic")
 
 
 def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
