@@ -24,7 +24,8 @@ SURE = 9.0
 SIGNS_TO_EXPLAIN = 3
 THRESHOLD = 0.65
 MAX_SHIFT = 1.0
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
+TEXTS_COUNTED = 1_000
 SITE_LEVELS = ("source", "lang")
 _SHAPE = 16
 _WORD = re.compile(r"\w+")
@@ -89,6 +90,9 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: i
     return w
 
 
+_NO_SIGNS: dict[int, float] = {}  # one for all words without signs
+
+
 @dataclass
 class Model:
     """Log odds that a text is of low quality (from its shape), and that it is toxic (from its words)."""
@@ -109,7 +113,7 @@ class Model:
                 if len(self.known) >= CACHED_WORDS:
                     self.known.clear()
                 at = (_slot(f) for f in _word_features(word))
-                signs = self.known[word] = {k: self.signs[k] for k in at if k in self.signs}
+                signs = self.known[word] = {k: self.signs[k] for k in at if k in self.signs} or _NO_SIGNS
             if signs:
                 found |= signs
         return list(found.values())
@@ -183,8 +187,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 
 def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many toxic and other texts of a batch hold each feature."""
-    for batch in batches:
+    """How many toxic and other texts of a batch hold each feature, a thousand texts at a time."""
+    for batch in (whole.slice(k, TEXTS_COUNTED) for whole in batches for k in range(0, whole.num_rows, TEXTS_COUNTED)):
         sides = [[np.empty(0, np.int32)], [np.empty(0, np.int32)]]
         for text, toxic in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
             sides[toxic == 1].append(slots(text))
