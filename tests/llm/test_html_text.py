@@ -130,3 +130,23 @@ def test_long_and_odd_pages(spark):
 
 def test_empty_table(spark):
     assert html_text.extract_text(frame(spark, [])).count() == 0
+
+
+def test_marked_parts_lose_the_lines_of_their_template_only(spark):
+    def article(*lines):
+        return "<body><article>" + "".join(f"<p>{x}</p>" for x in lines) + "</article></body>"
+
+    top, low, quoted = "Listen to this page", "Rate what you read", "a passage that some articles quote " * 3
+    own = {k: [f"first {k} " + "s" * 90, *([quoted] if k % 2 else []), f"last {k} " + "t" * 60] for k in range(12)}
+    rows = [(k, f"http://a.example/x/{k:02}", article(top, *own[k], low)) for k in own]
+    # Copies of one article, few pages, and a line that others have in their frame.
+    same = [f"paragraph {k} " + "p" * 200 for k in range(6)]
+    rows += [(20 + k, f"http://b.example/{k:02}", article(*same, f"read {k}")) for k in range(10)]
+    rows += [(40 + k, f"http://c.example/{k}", article(top, f"story {k} " * 9)) for k in range(4)]
+    rows += [(65, "http://d.example/05x", "<nav><li>Contact</li></nav><article><p>Contact 5<p>Contact</article>")]
+    rows += [(70 + k, f"http://d.example/{k:02}", f"<nav><li>Contact</li></nav><article><p>story {k}</article>") for k in range(10)]
+    got = {r.page_id: r.text for r in html_text.extract_text(frame(spark, rows)).collect()}
+    assert [got[k] for k in own] == ["\n".join(x.strip() for x in own[k]) for k in own]
+    assert all(got[20 + k] == "\n".join([*same, f"read {k}"]) for k in range(10))
+    assert all(got[40 + k] == f"{top}\n" + (f"story {k} " * 9).strip() for k in range(4))
+    assert got[65] == "Contact 5\nContact" and got[73] == "story 3"

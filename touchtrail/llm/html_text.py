@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -21,6 +21,8 @@ COPY_SHARE = 0.8
 # A line recurs on a host: on so many distinct pages, or on fewer that are so large a share of the host's.
 MANY_PAGES = 8
 FEW_PAGES, MOST_PAGES = 3, 0.8
+# Pages in the order of hosts and paths are looked at so many together; those at an end are in two such blocks.
+PLACES = 1024
 ROWS_AT_ONCE = 256
 _ADDRESS = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)"
 
@@ -211,7 +213,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 main = [t for kind, t in found if kind == _MAIN]
                 texts.append("\n".join(main) if main else None)
                 lines.append(None if main else [t if kind == _OPEN else None for kind, t in found])
-                marks.append(np.array([xxhash.xxh64_intdigest(t) for _, t in found], np.uint64).view(np.int64))
+                # The last bit tells whether a line lies in the main part.
+                told = [xxhash.xxh64_intdigest(t) >> 1 << 1 | (kind == _MAIN) for kind, t in found]
+                marks.append(np.array(told, np.uint64).view(np.int64))
                 ends.append(ends[-1] + len(found))
             columns = [
                 pa.array(texts, pa.string()),
@@ -239,14 +243,46 @@ def _own_lines(lines: list[str | None], marks: list[int], others: list[list[int]
     return [line for line, g in zip(lines, gone) if line is not None and not g]
 
 
+def _own_places(marks: list[int], others: list[list[int]], recurring: set[int]) -> list[int]:
+    """Places among the lines of a marked part of those that recur there on the host and that one of ``others`` shares."""
+    gone = [False] * len(marks)
+    for other in others:
+        gone = [g or same and mark in recurring for g, same, mark in zip(gone, shared_lines(marks, other), marks)]
+    return [place for place, g in enumerate(g for g, mark in zip(gone, marks) if mark & 1) if g]
+
+
+def _nearest_first(row: dict) -> list[list[int]]:
+    sides = [(row["near_before"], row["before"]), (row["near_after"], row["after"])]
+    return [other for _, other in sorted((s for s in sides if s[1] is not None), key=lambda s: -s[0])]
+
+
+def _unmarked(marks: list[int]) -> list[int]:
+    return [mark >> 1 << 1 for mark in marks]
+
+
+_SIDES = ["before", "near_before", "after", "near_after", "recurring"]
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of the lines that a page with a marked part loses; open pages keep what they are compared with."""
+    for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
+        rows = batch.to_pylist()
+        gone = [None if r["open"] else _own_places(r["marks"], _nearest_first(r), set(r["recurring"] or [])) for r in rows]
+        sides = [pa.array([r[name] if r["open"] else None for r in rows], batch.schema.field(name).type) for name in _SIDES]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("host"), batch.column("same"), pa.array(gone, pa.list_(pa.int32())), *sides],
+            names=["host", "same", "gone", *_SIDES],
+        )
+
+
 def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Open lines that the page with the nearest URL does not share."""
     for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
         texts = []
         for row in batch.to_pylist():
-            sides = [(row["near_before"], row["before"]), (row["near_after"], row["after"])]
-            others = [other for _, other in sorted((s for s in sides if s[1] is not None), key=lambda s: -s[0])]
-            texts.append("\n".join(_own_lines(row["lines"] or [], row["marks"] or [], others, set(row["recurring"] or []))))
+            others = [_unmarked(other) for other in _nearest_first(row)]
+            marks, recurring = _unmarked(row["marks"] or []), set(row["recurring"] or [])
+            texts.append("\n".join(_own_lines(row["lines"] or [], marks, others, recurring)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )
@@ -262,17 +298,46 @@ def _common_start(a: str, b: str) -> Column:
 
 
 def _recurring(placed: DataFrame) -> DataFrame:
-    """``(place, recurring)``: lines of every open page that recur on its host's distinct pages.
+    """``(place, recurring)``: lines of every page that recur on its host's distinct pages.
 
-    Both joins are on stored rows, so a line or host with many pages can be split.
+    For an open page a line counts wherever it lies; for a marked one only lines of marked parts do, and
+    only if most pages, and many, have them there: a passage that articles quote is on fewer.  Lines and
+    hosts are counted before any page is met, so a line or host with many pages can be split.
     """
-    line = F.explode(F.array_distinct("marks")).alias("mark")
-    counts = placed.select("host", line).groupBy("host", "mark").agg(F.count("*").alias("n"))
+    anywhere = F.transform("marks", lambda mark: F.shiftleft(F.shiftright(mark, 1), 1))
+    inside = F.filter("marks", lambda mark: mark.bitwiseAND(F.lit(1)) == 1)
+    both = F.explode(F.array_distinct(F.concat(anywhere, inside))).alias("mark")
+    counts = placed.select("host", both).groupBy("host", "mark").agg(F.count("*").alias("n"))
     counts = stored(counts.where(F.col("n") >= FEW_PAGES))
     hosts = stored(placed.groupBy("host").agg(F.count("*").alias("n_pages")))
-    met = placed.where("open").select("place", "host", line).join(counts, ["host", "mark"]).join(hosts, "host")
-    often = (F.col("n") >= MANY_PAGES) | (F.col("n") >= MOST_PAGES * F.col("n_pages"))
-    return met.where(often).groupBy("place").agg(F.collect_list("mark").alias("recurring"))
+    many, most = F.col("n") >= MANY_PAGES, F.col("n") >= MOST_PAGES * F.col("n_pages")
+    in_main = F.col("mark").bitwiseAND(F.lit(1)) == 1
+    often = counts.join(hosts, "host").where(F.when(in_main, many & most).otherwise(many | most)).select("host", "mark")
+    own = F.array_distinct(F.when(F.col("open"), anywhere).otherwise(inside))
+    met = placed.select("place", "host", F.explode(own).alias("mark")).join(often, ["host", "mark"])
+    return met.groupBy("place").agg(F.collect_list("mark").alias("recurring"))
+
+
+def _with_neighbours(placed: DataFrame) -> DataFrame:
+    """Every distinct page with the marks of those before and behind it on its host, and how much of the path they share.
+
+    Places are cut into blocks; a page at an end of one also goes to the next, so one exchange gives both sides.
+    """
+    block = F.floor(F.col("place") / PLACES)
+    near = F.array_distinct(F.array(*(F.floor((F.col("place") + k) / PLACES) for k in (-1, 0, 1))))
+    spread = placed.select("host", "same", "open", "path", "place", "marks", F.explode(near).alias("block"))
+    in_block = Window.partitionBy("block").orderBy("place")
+    page = F.struct("host", "path", "marks")
+    found = spread.withColumns({"_before": F.lag(page).over(in_block), "_after": F.lead(page).over(in_block)})
+    found = found.where(F.col("block") == block)
+    for name in ("before", "after"):
+        same_host = F.col("host") == F.col(f"_{name}.host")
+        found = found.withColumn(name, F.when(same_host, F.col(f"_{name}.marks"))).withColumn(
+            f"_{name}", F.when(same_host, F.col(f"_{name}.path"))
+        )
+    for name in ("before", "after"):
+        found = found.withColumn(f"near_{name}", _common_start("path", f"_{name}"))
+    return found.drop("_before", "_after", "path", "block")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -280,13 +345,20 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     A page is cut into blocks; character references are decoded and white space in a block becomes
     one space.  Scripts, styles, forms, menus, footers, sidebars, notices, adverts and reader
-    comments are told by their elements, roles and names.  Where a page marks its main part, the
-    text is that part, whole: a passage that other pages share belongs to it.  Where it does not, the
-    page is compared with the one whose URL path is nearest on its host: lines are aligned by a
-    longest common subsequence and shared ones deleted.  A neighbour that shares over four fifths
-    of the text is a copy, and the one on the other side is taken; without another, all stays.  Lines
-    that recur on the host's distinct pages (eight, or four fifths of them and at least three) do not
-    count for that and go if a neighbour shares them, however little is left.  Pages of a host whose blocks are all equal count as one neighbour, and empty pages as none.
+    comments are told by their elements, roles and names.  Every page is then compared with the ones
+    whose URL paths are nearest on its host: lines are aligned by a longest common subsequence.
+
+    Where a page marks no main part, lines shared with the nearest one are deleted.  A neighbour that
+    shares over four fifths of the text is a copy, and the one on the other side is taken; without
+    another, all stays.  Lines that recur on the host's distinct pages (eight, or four fifths of them and at
+    least three) do not count for that and go if a neighbour shares them, however little is left.
+
+    Where a page marks its main part, that part's lines are aligned with those of its neighbours' marked
+    parts.  A shared line belongs to the template if four fifths of the host's distinct pages, and at
+    least eight, have it in theirs, and is deleted; a shared passage on fewer pages is one that articles
+    quote, and stays.  Where less than a fifth of the part would be left, the pages are copies of one
+    article and all of it stays.  Pages of a host whose blocks are all equal count as one neighbour, and
+    empty pages as none.
 
     A missing page or URL is empty (pages without URL are one host); equal rows are rows like any
     other.  Neighbours are found by one sort over all hosts, so a large host is no group.
@@ -297,7 +369,6 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     )
     schema = "page_id bigint, url string, main string, lines array<string>, marks array<bigint>"
     parsed = stored(rows.mapInArrow(_parse, schema).withColumn("row", F.monotonically_increasing_id()))
-    done = parsed.where("main IS NOT NULL").select("page_id", "url", F.col("main").alias("text"))
     host, path = (F.regexp_extract(F.coalesce("url", F.lit("")), _ADDRESS, k) for k in (1, 2))
     named = parsed.withColumns({"host": F.lower(host), "path": path, "same": F.xxhash64("marks")})
     first = F.struct("path", "url", "row")
@@ -309,21 +380,18 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     kept = distinct.select("host", "same", "open", "first.*").join(named.select("row", "marks"), "row")
     placed = ranked(kept, F.col("host"), F.col("path"), F.col("url"), F.col("row"), rank="place")
 
-    def side(step: int, name: str) -> DataFrame:
-        return placed.select(
-            (F.col("place") + step).alias("place"), F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("marks").alias(name)
-        )
-
-    found = placed.where("open").select("host", "same", "path", "place")
-    for step, name in ((1, "before"), (-1, "after")):
-        found = (
-            found.join(side(step, name), "place", "left")
-            .withColumn(f"near_{name}", F.when(F.col("host") == F.col("_host"), _common_start("path", "_path")))
-            .withColumn(name, F.when(F.col("host") == F.col("_host"), F.col(name)))
-            .drop("_host", "_path")
-        )
-    found = found.join(_recurring(placed), "place", "left")
-    near = stored(found.select("host", "same", "before", "near_before", "after", "near_after", "recurring"))
+    sides = "before array<bigint>, near_before bigint, after array<bigint>, near_after bigint, recurring array<bigint>"
+    found = _with_neighbours(placed).join(_recurring(placed), "place", "left").drop("place")
+    near = stored(found.mapInArrow(_compare, f"host string, same bigint, gone array<int>, {sides}"))
     open_pages = named.where("main IS NULL").select("page_id", "url", "lines", "marks", "host", "same")
-    pairs = open_pages.join(near, ["host", "same"], "left").drop("host", "same")
-    return done.union(pairs.mapInArrow(_difference, "page_id bigint, url string, text string"))
+    pairs = open_pages.join(near.where("gone IS NULL").drop("gone"), ["host", "same"], "left").drop("host", "same")
+    differed = pairs.mapInArrow(_difference, "page_id bigint, url string, text string")
+
+    # Stored by itself, so Spark knows that it is small before it would exchange the texts for the join.
+    gone = stored(near.where(F.size("gone") > 0).select("host", "same", "gone"))
+    marked = named.where("main IS NOT NULL").select("page_id", "url", "main", "host", "same")
+    lines = F.filter(F.split("main", "\n"), lambda line, place: ~F.array_contains("gone", place))
+    left = F.array_join(lines, "\n")
+    copies = F.length(left) < (1 - COPY_SHARE) * F.length("main")
+    text = F.when(F.col("gone").isNull() | copies, F.col("main")).otherwise(left)
+    return marked.join(gone, ["host", "same"], "left").select("page_id", "url", text.alias("text")).union(differed)
