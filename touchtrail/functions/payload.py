@@ -13,6 +13,7 @@ deep they are: no document can overflow a stack.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
@@ -26,8 +27,11 @@ _NEAR_LIMITS = {"maxNestingDepth": str(NEAR_LEVELS), "maxNumLen": _FAR, "maxStri
 _FAR_LIMITS = {**_NEAR_LIMITS, "maxNestingDepth": _FAR}
 # The parser takes keys of up to 50,000 characters; this limit cannot be set.
 _KEY_CHARS = 50_000
-# A run without quotes, escapes or control characters that ends a key.
-_LONG_KEY = r'"[^"\\\x00-\x1F]{1000,}+"(?=\s*:)'
+# A key is shortened if it is so long and holds no escapes or control characters.
+_LONG_KEY_CHARS = 1000
+_NO_CONTROL = r"^[^\x00-\x1F]*\z"
+# The same without characters from U+D800 on: Java matches such a range several times as fast.
+_NO_CONTROL_FAST = r"^[\x20-\uD7FF]*\z"
 # Python's parser takes NaN and the infinities as numbers; standard JSON does not.
 _NON_FINITE = r"([\[:,]\s*)(?:NaN|-?Infinity)(?=\s*[,\]}])"
 _NULL = r":\s*null(?=\s*[,}])"
@@ -39,10 +43,46 @@ def _tame(text: Column, allow_non_finite: bool) -> Column:
 
     Inside a string literal the swaps change letters only, never the structure.
     """
-    if allow_non_finite:
-        suspect = text.contains("NaN") | text.contains("Infinity")
-        text = F.when(suspect, F.regexp_replace(text, _NON_FINITE, "$1null")).otherwise(text)
-    return F.when(F.length(text) > _KEY_CHARS, F.regexp_replace(text, _LONG_KEY, '"_"')).otherwise(text)
+
+    def short_keys(t: Column) -> Column:
+        return F.when(_longer(t, _KEY_CHARS), _with_short_keys(t)).otherwise(t)
+
+    def finite(t: Column) -> Column:
+        suspect = t.contains("NaN") | t.contains("Infinity")
+        return F.when(suspect, F.regexp_replace(t, _NON_FINITE, "$1null")).otherwise(t)
+
+    text = _once(text, short_keys)
+    return _once(text, finite) if allow_non_finite else text
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _longer(text: Column, chars: int) -> Column:
+    """TRUE when a text has more characters, which its bytes (up to four each) mostly tell without counting."""
+    size = F.octet_length(text)
+    return (size > 4 * chars) | ((size > chars) & (F.length(text) > chars))
+
+
+def _with_short_keys(text: Column) -> Column:
+    """A text with ``_`` for every long run between two quotes that a colon follows.
+
+    The text is parted at its quotes, and only long parts are looked at by character.
+    """
+
+    def shortened(parts: Column) -> Column:
+        def short(part: Column, at: Column) -> Column:
+            long = _longer(part, _LONG_KEY_CHARS - 1)
+            # Behind the last quote there is no part that begins with a colon; before the first one none is a key.
+            key = (at > 0) & F.get(parts, at + 1).rlike(r"^\s*:")
+            plain = ~part.contains("\\") & (part.rlike(_NO_CONTROL_FAST) | part.rlike(_NO_CONTROL))
+            return F.when(long & key & plain, F.lit("_")).otherwise(part)
+
+        return F.array_join(F.transform(parts, short), '"')
+
+    return _once(F.split(text, '"'), shortened)
 
 
 @dataclass(frozen=True)
@@ -52,10 +92,11 @@ class JsonDocument:
     text: Column
     envelope: Column
     allow_non_finite: bool = False
+    told: Column | None = None
 
-    def bound(self, name: str) -> "JsonDocument":
-        """The same document, read from the column the envelope was stored in."""
-        return JsonDocument(self.text, F.col(name), self.allow_non_finite)
+    def bound(self, name: str, told: str | None = None) -> "JsonDocument":
+        """The same document, read from the column the envelope was stored in, and the one ``is_json`` was."""
+        return JsonDocument(self.text, F.col(name), self.allow_non_finite, F.col(told) if told else None)
 
     @property
     def _refused(self) -> Column:
@@ -80,6 +121,8 @@ class JsonDocument:
     @property
     def is_json(self) -> Column:
         """TRUE when the whole text is one JSON value."""
+        if self.told is not None:
+            return self.told
         mark = F.try_variant_get(self.envelope, "$[1]", "bigint")
         near = F.coalesce(mark == F.xxhash64(self.text), F.lit(False))
         return F.when(self._refused, self._one_value).otherwise(near)
@@ -110,7 +153,7 @@ class JsonDocument:
         """
         near = F.try_variant_get(self.envelope, self._field(key), "variant").isNotNull()
         probe = self._far(key, "struct<z boolean>", swap_null=True)
-        far = self.is_object & (probe["x"][key].isNotNull() | probe["bad"].isNotNull())
+        far = self.is_object & _once(probe, lambda p: p["x"][key].isNotNull() | p["bad"].isNotNull())
         return F.when(self._refused, far).otherwise(near)
 
     def scalar(self, key: str) -> Column:
@@ -120,10 +163,15 @@ class JsonDocument:
         # Type names of objects and arrays list their content in angle brackets.
         nested = F.schema_of_variant(value).contains("<")
         near = F.when(self.is_json & ~nested, F.try_variant_get(self.envelope, path, "string"))
-        # An object or array of moderate depth can be had as text too, one too deep for that cannot.
-        others = [self._far(key, kind)["x"][key] for kind in ("struct<z boolean>", "array<string>")]
-        single = self.is_object & others[0].isNull() & others[1].isNull()
-        return F.when(self._refused, F.when(single, self._far(key, "string")["x"][key])).otherwise(near)
+
+        def single(value: Column) -> Column:
+            # An object or array of moderate depth can be had as text too, one too deep for that cannot.
+            others = [self._far(key, kind)["x"][key] for kind in ("struct<z boolean>", "array<string>")]
+            plain = ~(value.startswith("{") | value.startswith("["))
+            return F.when(plain | (others[0].isNull() & others[1].isNull()), value)
+
+        far = F.when(self.is_object, _once(self._far(key, "string")["x"][key], single))
+        return F.when(self._refused, far).otherwise(near)
 
 
 def parse_json_document(text: Column, allow_non_finite: bool = False) -> JsonDocument:
@@ -137,7 +185,7 @@ def parse_json_document(text: Column, allow_non_finite: bool = False) -> JsonDoc
     envelope = F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]"))
     tame = _tame(envelope, allow_non_finite)
     far = F.from_json(tame, "variant", _NEAR_LIMITS)
-    near = F.length(text) <= NEAR_LEVELS
+    near = ~_longer(text, NEAR_LEVELS)
     return JsonDocument(text, F.when(near, F.try_parse_json(tame)).otherwise(far), allow_non_finite)
 
 
