@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import touchtrail as tt
-from touchtrail.sources import append_daily
+from touchtrail.sources import append_daily, key_sketch
 from touchtrail.sources.key_sketch import days_that_may_hold
 
 SCHEMA = "event_id string, other string, event_day date"
@@ -101,3 +101,45 @@ def test_a_load_that_failed_after_sketching_is_repeated(spark, table, monkeypatc
     for _ in range(2):
         merge(spark, [("new", "k", DAYS[1])], table)
     assert held(spark, table).count(("new", "k", DAYS[1])) == 1
+
+
+def asked_keys(monkeypatch):
+    """Numbers of keys and days of every look into the filters."""
+    looks, look = [], key_sketch._days_hit
+
+    def seen(told, near, pages):
+        looks.append((told.count(), near.select("day").distinct().count()))
+        return look(told, near, pages)
+
+    monkeypatch.setattr(key_sketch, "_days_hit", seen)
+    return looks
+
+
+def test_a_redelivered_batch_is_settled_by_few_of_its_keys(spark, table, monkeypatch):
+    monkeypatch.setattr(key_sketch, "FIRST_KEYS", 60)
+    looks = asked_keys(monkeypatch)
+    history(spark, table)
+    rows = [(r.event_id, r.other, r.event_day) for r in spark.table(table).collect()]
+    assert may_hold(spark, rows, table) == DAYS
+    assert looks and all(keys < 300 for keys, _ in looks)
+
+
+def test_one_old_key_among_many_new_ones_is_found(spark, table, monkeypatch):
+    monkeypatch.setattr(key_sketch, "FIRST_KEYS", 2)
+    monkeypatch.setattr(key_sketch, "MORE_KEYS", 8)
+    looks = asked_keys(monkeypatch)
+    history(spark, table)
+    old = spark.table(table).where(F.col("event_day") == F.lit(DAYS[4])).first()
+    rows = [(f"{k:06d}-new", "n", DAYS[0]) for k in range(0, 100_000, 500)] + [(old.event_id, "again", DAYS[0])]
+    assert DAYS[4] in may_hold(spark, rows, table)
+    assert looks[-1][0] == len(rows) and [d for _, d in looks] == sorted((d for _, d in looks), reverse=True)
+
+
+def test_days_of_many_sizes_have_filters_of_few(spark, table):
+    append_daily(batch(spark, []), table, day="event_day")
+    day = F.expr("date_add(DATE'2024-01-01', CAST(sqrt(id) / 32 AS INT))")
+    rows = spark.range(300_000).select(F.col("id").cast("string").alias("event_id"), F.lit("x").alias("other"), day.alias("event_day"))
+    tt.merge_new_events(rows, table, [F.desc("other")], sketches=f"{table}_keys")
+    heads = spark.table(f"{table}_keys_days").collect()
+    assert len({r.n for r in heads}) > 15 and {r.pages for r in heads} <= {1, 2, 4, 8, 16, 32}
+    assert all(r.pages * key_sketch.PAGE_BITS >= r.n * key_sketch.BITS_PER_KEY for r in heads)
