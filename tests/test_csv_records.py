@@ -2,13 +2,14 @@
 
 import csv
 import random
+import re
 
 import pytest
 
 import touchtrail as tt
 from touchtrail.operators.gate import CORRUPT
 from touchtrail.sources import read_event_csv
-from touchtrail.sources.csv_records import split_records
+from touchtrail.sources.csv_records import TASKS_A_CORE, split_records
 
 HEADER = ["event_id", "user_email", "event_type", "event_timestamp", "message_details"]
 FIELDS = ["", "plain", "two\nlines", 'say "x"', '"', "a,b", "\n", "\n\n", "é\n漢字", 'q"\n"r', " padded ", "x" * 90, "end\r\nhere"]
@@ -86,3 +87,33 @@ def test_ingest_of_split_files(spark, tmp_path, small_ranges):
     path = write(tmp_path / "mail.csv", [[f"E{k}", "a@b.c", "open", "2024-01-15 08:30:00", details if k % 4 else "{\n"] for k in range(40)])
     report = tt.ingest_email_logs(spark, path, write=False, multi_line="split")
     assert (report.total_rows, report.valid_rows) == (40, 30)
+
+
+@pytest.mark.parametrize("small_ranges", [64, 1 << 20], indirect=True)
+def test_records_that_lie_in_batches_of_few_lines(spark, tmp_path, small_ranges):
+    path = write(tmp_path / "mail.csv", some_rows(7, 200), "\r\n")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "3")
+    try:
+        assert rows(read_event_csv(spark, path, multi_line="split")) == rows(read_event_csv(spark, path))
+    finally:
+        spark.conf.set(size, before)
+
+
+def test_bytes_that_are_no_text_are_read_as_in_one_task(spark, tmp_path, small_ranges):
+    path = write(tmp_path / "mail.csv", some_rows(3, 40))
+    with open(path, "ab") as out:
+        out.write(b'E-x,"\xff\xfe\n\xe9",b,c,d\n')
+    found = {r.record for r in split_records(spark, path).collect()}
+    assert "E-x,\"\ufffd\ufffd\n\ufffd\",b,c,d" in found
+    assert rows(read_event_csv(spark, path, multi_line="split")) == rows(read_event_csv(spark, path))
+
+
+def test_lines_are_cut_where_they_are_read(spark, tmp_path, small_ranges):
+    """No task gathers, sorts or joins whole lines: what is shuffled are parts of records that leave their range."""
+    path = write(tmp_path / "mail.csv", [[f"E{k}", "a@b.c", "open", "2024-01-15", "{\n}"] for k in range(2000)])
+    found = split_records(spark, path)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and not re.search(r"Sort \[[^\]]*place", text)
+    assert found.rdd.getNumPartitions() <= 2 * TASKS_A_CORE * spark.sparkContext.defaultParallelism
