@@ -130,3 +130,31 @@ def test_a_backfill_reads_only_the_days_it_needs(spark, database):
     for found in ranges:
         assert re.search(rf"{STAGED_PARTITION}#\d+ >= 2024-01-01", found) and re.search(rf"{STAGED_PARTITION}#\d+ <= 2024-01-05", found)
     assert [r.raw_log_id for r in mart.collect()] == ["e6"]
+
+
+def test_a_range_is_told_before_documents_are_read(spark, database):
+    texts = [(f"m{d}", 5511900000000 + d, "read", f"2024-01-{d:02d} 01:30:00") for d in range(1, 11)]
+    unreadable = [("bad", "  ", "open", "no time")]  # without an address: never staged, so its time is never read
+    store_raw(spark, database, [*mails(), *unreadable], texts)
+    day = F.col("event_ts_brt").cast("date").between(F.lit(FIRST), F.lit(LAST))
+    for stage, raw in ((tt.stage_email, layers.RAW_EMAIL), (tt.stage_whatsapp, layers.RAW_WHATSAPP)):
+        rows = spark.table(f"{database}.{raw}")
+        part, whole = (df.drop("stg_id", "_loaded_at") for df in (stage(rows, days=(FIRST, LAST)), stage(rows).where(day)))
+        assert sorted(part.collect(), key=str) == sorted(whole.collect(), key=str) and part.count() == 3
+        text = part._jdf.queryExecution().executedPlan().toString()
+        value = "parse" if stage is tt.stage_email else "regexp"
+        assert re.search(r"Filter \(?.*_clock", text)
+        # Plans are printed from the last step to the first.
+        assert text.rindex(value) < re.search(r"Filter \(?.*_clock", text).start()
+
+
+def test_a_range_of_days_is_passed_on(spark, database, monkeypatch):
+    store_raw(spark, database, mails(), [("m", 5511900000001, "read", "2024-01-04 12:00:00")])
+    asked = []
+    for name in ("stage_email", "stage_whatsapp"):
+        kept = getattr(layers, name)
+        monkeypatch.setattr(layers, name, lambda *args, kept=kept: asked.append(args[-1]) or kept(*args))
+    for refresh in (tt.refresh_email, tt.refresh_whatsapp):
+        refresh(spark, database, database)
+        refresh(spark, database, database, start=FIRST, end=LAST)
+    assert asked == [None, (FIRST, LAST)] * 2

@@ -6,7 +6,9 @@ staged columns pays for those only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import EMAIL_CHANNEL, EMAIL_WEIGHTS, LOCAL_ZONE, TAG_PATTERN, WHATSAPP_CHANNEL, WHATSAPP_WEIGHTS
 from ..functions import (
@@ -47,15 +49,32 @@ def _no_text():
     return F.lit(None).cast("string")
 
 
-def stage_email(df: DataFrame, zone: str = LOCAL_ZONE, strict_time: bool = True) -> DataFrame:
-    """E-mail events with normalised key, local time, campaign and weight."""
+def _clocked(addressed: DataFrame, clock: Column, days: tuple[dt.date, dt.date] | None) -> tuple[DataFrame, Column]:
+    """Rows of the local days asked for, told before their other values are worked out, and their local time."""
+    if days is None:
+        return addressed, clock
+    timed = with_values(addressed, _clock=clock)
+    return timed.where(F.col("_clock").cast("date").between(*map(F.lit, days))), F.col("_clock")
+
+
+def stage_email(
+    df: DataFrame,
+    zone: str = LOCAL_ZONE,
+    strict_time: bool = True,
+    days: tuple[dt.date, dt.date] | None = None,
+) -> DataFrame:
+    """E-mail events with normalised key, local time, campaign and weight.
+
+    ``days``, the first and the last, keeps only events of these local days.
+    """
     require_configured(df.sparkSession)
     parsed = parse_json_document(F.col("message_details"))
-    addressed = df.where(~is_blank(F.col("user_email"))).withColumn(_ENVELOPE, parsed.envelope)
+    clock = wall_clock(instant(F.col("event_timestamp"), strict_time), zone)
+    addressed, clock = _clocked(df.where(~is_blank(F.col("user_email"))), clock, days)
     return with_values(
-        addressed,
+        addressed.withColumn(_ENVELOPE, parsed.envelope),
         user_email_normalized=email_key(F.col("user_email")),
-        event_ts_brt=wall_clock(instant(F.col("event_timestamp"), strict_time), zone),
+        event_ts_brt=clock,
         campaign_code=parsed.bound(_ENVELOPE).scalar("campaign_code"),
     ).select(
         surrogate_key().alias("stg_id"),
@@ -77,19 +96,21 @@ def stage_whatsapp(
     tag_pattern: str = TAG_PATTERN,
     zone: str = LOCAL_ZONE,
     source_zone: str = "UTC",
+    days: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Messages with normalised key, local time, campaign and weight.
 
     ``source_zone`` names the clock ``sent_at_brt`` was recorded in.  The default moves it
     from UTC to ``zone``; pass the local zone itself when the provider already sends
-    local time.
+    local time.  ``days``, the first and the last, keeps only events of these local days.
     """
     require_configured(df.sparkSession)
-    addressed = df.where(F.col("phone_clean").isNotNull()).withColumn(_DIGITS, digits(F.col("phone_clean")))
+    clock = wall_clock(F.col("sent_at_brt"), zone, source_zone)
+    addressed, clock = _clocked(df.where(F.col("phone_clean").isNotNull()), clock, days)
     return with_values(
-        addressed,
+        addressed.withColumn(_DIGITS, digits(F.col("phone_clean"))),
         user_phone_normalized=phone_from_digits(F.col(_DIGITS)),
-        event_ts_brt=wall_clock(F.col("sent_at_brt"), zone, source_zone),
+        event_ts_brt=clock,
         campaign_code=tag_code(F.col("campaign_tag"), tag_pattern),
     ).select(
         surrogate_key().alias("stg_id"),
